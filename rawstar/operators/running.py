@@ -1,0 +1,65 @@
+"""Running aggregates over very long groups.
+
+A plain window puts a whole group in one task. Here a group (a file, say) is cut into chunks of
+consecutive rows: each chunk is windowed on its own, one summary row per chunk gives what the chunks
+before it add up to, and the two are combined. The work per task is bounded by the chunk, and the
+only thing ever ordered over a whole group is its chunk summaries.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+CHUNK_ROWS = 100_000
+
+
+def with_chunk(df: DataFrame, row_number: str, rows: int = CHUNK_ROWS) -> DataFrame:
+    return df.withColumn("_chunk", F.expr(f"({row_number} - 1) div {rows}"))
+
+
+def _agg(kind: str, c: Column | str) -> Column:
+    return {"sum": F.sum, "max": F.max}[kind](c)
+
+
+def _combine(kind: str, a: Column, b: Column) -> Column:
+    if kind == "sum":
+        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+    return F.greatest(a, b)
+
+
+def running(
+    df: DataFrame,
+    group: list[str],
+    order: list[str],
+    values: dict[str, tuple[str, str]],
+    inclusive: bool = True,
+) -> DataFrame:
+    """Add running 'sum' or 'max' columns over `group` in `order`.
+
+    `df` carries a `_chunk` column that grows with `order` inside a group. `values` maps an output
+    name to (kind, input column); input columns must be orderable. With `inclusive` off, the row
+    itself is left out (NULL or 0 before the first one).
+    """
+    keys = [*group, "_chunk"]
+    totals = df.groupBy(*keys).agg(
+        *[_agg(kind, c).alias(f"_t_{out}") for out, (kind, c) in values.items()]
+    )
+    before = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(
+        *keys,
+        *[_agg(kind, f"_t_{out}").over(before).alias(f"_c_{out}") for out, (kind, _) in values.items()],
+    )
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow if inclusive else -1
+    )
+    local = df.select(
+        "*", *[_agg(kind, c).over(inside).alias(f"_l_{out}") for out, (kind, c) in values.items()]
+    )
+    return local.join(carried, keys, "left").select(
+        *df.columns,
+        *[
+            _combine(kind, F.col(f"_c_{out}"), F.col(f"_l_{out}")).alias(out)
+            for out, (kind, _) in values.items()
+        ],
+    )
