@@ -122,13 +122,18 @@ def dim_order(lines: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
+def refund_magnitude(amount: str, status: str) -> Column:
+    """Refunds as positive amounts; every other amount as it is."""
+    return F.when(F.col(status).like(REFUNDED), F.abs(amount)).otherwise(F.col(amount))
+
+
 def dim_payments(lines: DataFrame, strict: bool = False) -> DataFrame:
     paid = latest_payments(lines).withColumn("amount", text.to_double("amount", strict))
     return paid.select(
         "payment_id",
         "order_id",
         "payment_method",
-        F.when(F.col("status").like(REFUNDED), F.abs("amount")).otherwise(F.col("amount")).alias("amount"),
+        refund_magnitude("amount", "status").alias("amount"),
         "currency",
         text.first_token("status").alias("status"),
     )
