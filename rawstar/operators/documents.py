@@ -1,9 +1,8 @@
 """Rebuild XML and JSON documents from raw lines, and parse them.
 
 A file up to `max_bytes` is put together again as one document. A larger one is never gathered: its
-lines are cut into records (one XML transaction, one element of the JSON transaction array) with
-running aggregates over bounded chunks, and only the fragments of one record meet in a group. Both
-ways give the same transactions.
+lines are folded into bounded chunks and cut into records (one XML transaction, one element of the
+JSON transaction array) there. Both ways give the same transactions.
 
 Lines carry file_name, file_row_number, file_bytes and a text column.
 """
@@ -13,15 +12,16 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from rawstar.functions import text
 from rawstar.operators.dedup import keep_latest
-from rawstar.operators.running import CHUNK_ROWS, running, with_chunk
 from rawstar.schemas import XML_TRANSACTION_DDL
 
 MAX_DOCUMENT_BYTES = 8 * 1024 * 1024
+CHUNK_ROWS = 20_000
 XML_DOCUMENT_DDL = f"Transaction array<struct<{XML_TRANSACTION_DDL}>>, _corrupt string"
 XML_RECORD_DDL = f"{XML_TRANSACTION_DDL}, _corrupt string"
 XML_TOP_FIELDS = ("TransactionID", "Order", "Items", "Payment")
@@ -50,32 +50,102 @@ def ordered_concat(
     return df.groupBy(*keys).agg(joined.alias(content))
 
 
-def strip_carried_comments(
-    lines: DataFrame, content: str, opening: str, closing: str
+# --- long files -------------------------------------------------------------------------------
+#
+# The lines of a long file are folded into chunks of consecutive lines, each one row of bounded size.
+# What a chunk needs to know about the chunks before it (inside a comment? how deep? how many
+# records so far?) comes from one small summary row per chunk. Records that lie inside one chunk
+# are done there; only the parts of a record that runs over a chunk border are put together.
+
+
+def chunk_documents(
+    lines: DataFrame, content: str, separator: str, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """(file_name, chunk, content): consecutive lines as one text; `chunk` grows along the file.
+
+    Ingested lines bring a `chunk` bounded in bytes; other lines are cut by row number.
+    """
+    if "chunk" not in lines.columns:
+        lines = lines.withColumn("chunk", F.expr(f"(file_row_number - 1) div {chunk_rows}"))
+    return ordered_concat(
+        lines.select("file_name", "chunk", "file_row_number", content),
+        ["file_name", "chunk"],
+        content,
+        ["file_row_number"],
+        separator,
+    ).filter(F.col(content).isNotNull())
+
+
+def _before() -> WindowSpec:
+    """All earlier chunks of the file; runs over summary rows only."""
+    return (
+        Window.partitionBy("file_name").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    )
+
+
+def strip_chunk_comments(
+    chunks: DataFrame, content: str, opening: str, closing: str
 ) -> DataFrame:
-    """Remove comments that may run over many lines of a file.
+    """Remove comments, also those that run over many chunks.
 
-    The last marker of a line decides whether the next line starts inside a comment, whatever the
-    line itself started in; so the state is a running maximum of (row number, kind of marker).
-    Lines carry `_chunk`.
+    The last marker in a chunk decides whether the next chunk starts inside a comment, whatever the
+    chunk itself started in.
     """
     o, c = re.escape(opening), re.escape(closing)
     last = F.regexp_extract(content, f"(?s).*({o}|{c})", 1)
-    mark = F.when(last == opening, F.col("file_row_number") * 2 + 1).when(
-        last == closing, F.col("file_row_number") * 2
-    )
-    marked = lines.withColumn("_mark", mark)
-    state = running(
-        marked, ["file_name"], ["file_row_number"], {"_before": ("max", "_mark")}, inclusive=False
+    mark = F.when(last != "", F.struct("chunk", (last == opening).alias("open")))
+    carried = chunks.select("file_name", "chunk", mark.alias("_mark")).select(
+        "file_name", "chunk", F.max("_mark").over(_before())["open"].alias("_inside")
     )
     whole = F.col(content)
     closed_at = F.instr(whole, closing)
     rest = F.when(
-        F.coalesce(F.col("_before") % 2, F.lit(0)) == 1,
+        F.coalesce("_inside", F.lit(False)),
         F.when(closed_at > 0, F.substring(whole, closed_at + len(closing), F.length(whole))),
     ).otherwise(whole)
-    plain = F.regexp_replace(rest, f"(?s){o}.*?({c}|$)", "")
-    return state.withColumn(content, text.blank_to_null(plain)).drop("_mark", "_before")
+    plain = F.regexp_replace(rest, rf"(?s){o}.*?(?:{c}|\z)", "")
+    return chunks.join(carried, ["file_name", "chunk"]).select(
+        "file_name", "chunk", plain.alias(content)
+    )
+
+
+def join_pieces(pieces: DataFrame, content: str) -> DataFrame:
+    """(file_name, record_no, content) of every closed record.
+
+    `pieces` has, per chunk, piece 0 (what comes before the first record start, perhaps the end of
+    an earlier record) and pieces 1.. that each start a record; `closes` tells that the record ends
+    in the piece. A record that is never closed is left out.
+    """
+    starts = F.col("piece") > 0
+    last = F.max(F.struct("piece", "closes"))
+    event = F.when((last["piece"] > 0) | last["closes"], ~last["closes"])
+    per_chunk = pieces.groupBy("file_name", "chunk").agg(
+        last["piece"].alias("_starts"), event.alias("_open")
+    )
+    mark = F.when(F.col("_open").isNotNull(), F.struct("chunk", F.col("_open").alias("open")))
+    carried = per_chunk.select(
+        "file_name",
+        "chunk",
+        F.coalesce(F.sum("_starts").over(_before()), F.lit(0)).alias("_done"),
+        F.coalesce(F.max(mark).over(_before())["open"], F.lit(False)).alias("_inside"),
+    )
+    placed = (
+        pieces.join(carried, ["file_name", "chunk"])
+        .filter(starts | F.col("_inside"))
+        .select(
+            "file_name",
+            (F.col("_done") + F.col("piece")).cast("bigint").alias("record_no"),
+            "chunk",
+            (starts & F.col("closes")).alias("_whole"),
+            "closes",
+            content,
+        )
+    )
+    keys = ["file_name", "record_no"]
+    parts = placed.filter("NOT _whole")
+    closed = parts.filter("closes").select(*keys).distinct()
+    joined = ordered_concat(parts.join(closed, keys, "left_semi"), keys, content, ["chunk"])
+    return placed.filter("_whole").select(*keys, content).unionByName(joined)
 
 
 # --- XML --------------------------------------------------------------------------------------
@@ -103,49 +173,31 @@ def cut_xml_records(
     """(file_name, record_no, content): one row per closed `<tag>` element outside comments.
 
     `record_no` counts opening tags, so it is the position of the element in its file. What lies
-    between elements is dropped, and an element that is never closed is left out.
+    between elements is dropped.
     """
-    cleaned = lines.select(
-        "file_name", "file_row_number", text.strip_dashed(content).alias(content)
-    ).filter(F.col(content).isNotNull())
-    plain = strip_carried_comments(
-        with_chunk(cleaned, "file_row_number", chunk_rows), content, "<!--", "-->"
-    ).filter(F.col(content).isNotNull())
-
-    start, end = rf"<{tag}(?:[\s>/]|$)", rf"</{tag}>"
-    fragments = stage(
-        plain.select(
-            "file_name",
-            "_chunk",
-            "file_row_number",
-            F.posexplode(F.split(content, rf"(?<={end})|(?={start})", -1)).alias("_part", content),
-        )
-        .filter(F.length(content) > 0)
-        .withColumn("_opens", F.col(content).rlike("^" + start).cast("int"))
-        .withColumn("_closes", F.col(content).contains(end))
-    )
-    at = [F.col("file_row_number"), F.col("_part")]
-    marked = fragments.withColumn(
-        "_mark",
-        F.when(F.col("_closes"), F.struct(*at, F.lit(False).alias("open"))).when(
-            F.col("_opens") == 1, F.struct(*at, F.lit(True).alias("open"))
-        ),
-    ).withColumn("_own", F.when(F.col("_opens") == 1, F.struct(*at, F.lit(True).alias("open"))))
-    order = ["file_row_number", "_part"]
-    counted = running(marked, ["file_name"], order, {"record_no": ("sum", "_opens")})
-    placed = running(
-        counted, ["file_name"], order, {"_before": ("max", "_mark")}, inclusive=False
-    ).filter(F.coalesce(F.col("_own.open"), F.col("_before.open"), F.lit(False)))
-    placed = stage(
-        placed.select("file_name", "record_no", "file_row_number", "_part", "_closes", content)
-    )
-    closed = placed.filter("_closes").select("file_name", "record_no").distinct()
-    records = ordered_concat(
-        placed.join(closed, ["file_name", "record_no"], "left_semi"),
-        ["file_name", "record_no"],
-        content,
-        order,
+    cleaned = lines.withColumn(content, text.strip_dashed(content))
+    plain = strip_chunk_comments(
+        chunk_documents(cleaned, content, "", chunk_rows), content, "<!--", "-->"
     )
+    start, end = rf"<{tag}(?:[\s>/]|$)", f"</{tag}>"
+    plain = plain.withColumn(content, F.regexp_replace(content, rf"</{tag}\s+>", end))
+    cut = plain.select(
+        "file_name",
+        "chunk",
+        F.col(content).rlike("^" + start).cast("int").alias("_lead"),
+        F.posexplode(F.split(content, f"(?={start})", -1)).alias("_pos", content),
+    )
+    closes = F.col(content).contains(end)
+    pieces = cut.select(
+        "file_name",
+        "chunk",
+        (F.col("_pos") + F.col("_lead")).alias("piece"),
+        closes.alias("closes"),
+        F.when(closes, F.concat(F.substring_index(content, end, 1), F.lit(end)))
+        .otherwise(F.col(content))
+        .alias(content),
+    )
+    records = join_pieces(stage(pieces), content)
     return records.withColumn(content, text.strip_root(content, root))
 
 
@@ -246,62 +298,85 @@ def cut_json_records(
 ) -> DataFrame:
     """(file_name, record_no, content): the elements of the root-level member `key`.
 
-    Brackets outside strings are counted along the file. An element starts where the depth leaves 2
-    and is whole where it comes back; one that never comes back is left out.
+    Brackets outside strings are counted along the file. An element starts where the depth goes from
+    2 to 3 and is whole where it comes back.
     """
-    no_dash = text.strip_dash_lines(content)
-    no_line_comment = F.regexp_replace(no_dash, ("(?<!:)//" if keep_urls else "//") + ".*$", "")
-    cleaned = lines.select("file_name", "file_row_number", no_line_comment.alias(content)).filter(
-        F.col(content).isNotNull()
-    )
-    plain = strip_carried_comments(
-        with_chunk(cleaned, "file_row_number", chunk_rows), content, "/*", "*/"
-    ).withColumn(content, text.strip_semicolons(content))
-
-    token = r'"(?:\\.|[^"\\])*"|[{}\[\]]|[^"{}\[\]]+|"'
-    tokens = stage(
-        plain.select(
-            "file_name",
-            "_chunk",
-            "file_row_number",
-            F.posexplode(F.regexp_extract_all(content, F.lit(token), F.lit(0))).alias(
-                "_part", content
-            ),
-        ).withColumn(
-            "_step",
-            F.when(F.col(content).isin("{", "["), 1).when(F.col(content).isin("}", "]"), -1)
-            .otherwise(0),
-        )
+    line_comment = ("(?<!:)//" if keep_urls else "//") + ".*"
+    folded = chunk_documents(lines, content, "\n", chunk_rows)
+    cleaned = folded.withColumn(
+        content, F.regexp_replace(text.strip_dash_lines(content), line_comment, "")
+    )
+    plain = strip_chunk_comments(cleaned, content, "/*", "*/").withColumn(
+        content, text.strip_semicolons(content)
     )
-    order = ["file_row_number", "_part"]
-    deep = running(tokens, ["file_name"], order, {"_depth": ("sum", "_step")})
-    marked = deep.withColumn(
-        "_starts", ((F.col("_step") == 1) & (F.col("_depth") == 3)).cast("int")
-    ).withColumn(
-        "_named",
-        F.when(
-            (F.col("_depth") == 1) & F.col(content).startswith('"'),
-            F.struct("file_row_number", "_part", F.col(content).alias("name")),
-        ),
+
+    # Possessive repeats: no backtracking, and no recursion on long strings.
+    string = r'"(?:\\.|[^"\\\n])*+"'
+    bare = F.regexp_replace(content, string, "")
+
+    def count(chars: str) -> Column:
+        return F.length(bare) - F.length(F.translate(bare, chars, ""))
+
+    carried = plain.select("file_name", "chunk", (count("{[") - count("}]")).alias("_net")).select(
+        "file_name", "chunk", F.coalesce(F.sum("_net").over(_before()), F.lit(0)).alias("_deep")
     )
+    token = rf'(?:{string}|[^"{{}}\[\]])++|[{{}}\[\]]|"'
+    tokens = plain.join(carried, ["file_name", "chunk"]).select(
+        "file_name",
+        "chunk",
+        "_deep",
+        F.posexplode(F.regexp_extract_all(content, F.lit(token), F.lit(0))).alias("_pos", content),
+    )
+    along = Window.partitionBy("file_name", "chunk").orderBy("_pos")
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    step = F.when(F.col(content).isin("{", "["), 1).when(F.col(content).isin("}", "]"), -1)
+    deep = tokens.withColumn("_step", F.coalesce(step, F.lit(0))).withColumn(
+        "_depth", F.col("_deep") + F.sum("_step").over(so_far)
+    )
+    starts = (F.col("_step") == 1) & (F.col("_depth") == 3)
     ends = (F.col("_step") == -1) & (F.col("_depth") == 2)
-    placed = stage(
-        running(
-            marked,
-            ["file_name"],
-            order,
-            {"record_no": ("sum", "_starts"), "_member": ("max", "_named")},
-        )
-        .filter((F.col("_member.name") == f'"{key}"') & ((F.col("_depth") >= 3) | ends))
-        .select("file_name", "record_no", *order, ends.alias("_closes"), content)
+    # The last text at depth 1 before a member's value ends with the member's name.
+    named = F.when(
+        (F.col("_step") == 0) & (F.col("_depth") == 1) & (F.trim(content) != ""),
+        F.col(content).rlike(rf'"{re.escape(key)}"\s*:\s*$'),
     )
-    closed = placed.filter("_closes").select("file_name", "record_no").distinct()
-    return ordered_concat(
-        placed.join(closed, ["file_name", "record_no"], "left_semi"),
-        ["file_name", "record_no"],
+    placed = deep.select(
+        "file_name",
+        "chunk",
+        "_pos",
         content,
-        order,
+        ((F.col("_depth") >= 3) | ends).alias("_in"),
+        ends.alias("_ends"),
+        F.sum(starts.cast("int")).over(so_far).alias("piece"),
+        F.last(named, ignorenulls=True).over(so_far).alias("_member"),
+    )
+    inside = F.col("_in")
+    pieces = placed.groupBy("file_name", "chunk", "piece").agg(
+        F.expr(f"listagg(if(_in, {content}, NULL), '') WITHIN GROUP (ORDER BY _pos)").alias(content),
+        F.max(F.col("_ends")).alias("closes"),
+        # Of the piece itself, and of whatever follows its last element in the chunk.
+        F.max_by(F.col("_member"), F.when(inside, F.col("_pos"))).alias("_member"),
+        F.max_by(F.col("_member"), F.col("_pos")).alias("_after"),
+    )
+    pieces = stage(pieces)
+    last_named = F.max(
+        F.when(F.col("_after").isNotNull(), F.struct("chunk", "piece", F.col("_after").alias("is")))
+    )
+    member = (
+        pieces.groupBy("file_name", "chunk")
+        .agg(last_named.alias("_named"))
+        .select("file_name", "chunk", F.max("_named").over(_before())["is"].alias("_carried"))
+    )
+    ours = F.coalesce("_member", "_carried", F.lit(False))
+    wanted = pieces.join(member, ["file_name", "chunk"]).select(
+        "file_name",
+        "chunk",
+        "piece",
+        "closes",
+        # Pieces of other members keep their place but carry no text.
+        F.when(ours, F.col(content)).alias(content),
     )
+    return join_pieces(wanted, content).filter(F.col(content).isNotNull())
 
 
 def variant_members(v: Column | str, path: str) -> Column:

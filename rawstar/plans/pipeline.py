@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from rawstar.operators.documents import MAX_DOCUMENT_BYTES, json_elements, xml_e
 from rawstar.plans import gold, rules, silver
 from rawstar.plans.control import BatchControl
 from rawstar.sources.ingest import ingest
-from rawstar.sources.lake import Lake
+from rawstar.sources.lake import Lake, staging
 
 
 @dataclass(frozen=True)
@@ -40,20 +39,6 @@ def _has_oversize(lake: Lake, kind: str, limit: int) -> bool:
     return not lake.raw_splits(kind).filter(F.col("file_bytes") > limit).limit(1).isEmpty()
 
 
-def _staging(lake: Lake, batch_id: str, name: str) -> Callable[[DataFrame], DataFrame]:
-    """Cut a long plan: write an intermediate relation in the lake and read it back."""
-    made = iter(range(1_000))
-
-    def stage(df: DataFrame) -> DataFrame:
-        table = f"_stage_{name}_{next(made)}"
-        lake.write(df, "silver", table, batch_id)
-        return lake.spark.read.schema(df.schema).parquet(
-            f"{lake.path('silver', table)}/batch_id={batch_id}"
-        )
-
-    return stage
-
-
 def build_transactions(
     lake: Lake, batch_id: str, options: PipelineOptions
 ) -> tuple[DataFrame, DataFrame]:
@@ -64,14 +49,14 @@ def build_transactions(
         max_bytes=limit,
         strict=options.strict,
         oversize=_has_oversize(lake, "xml", limit),
-        stage=_staging(lake, batch_id, "xml"),
+        stage=staging(lake.spark, f"{lake.root}/stage/{batch_id}/xml"),
     )
     json, bad_json = json_elements(
         lake.raw_lines("json"),
         max_bytes=limit,
         keep_urls=options.keep_urls,
         oversize=_has_oversize(lake, "json", limit),
-        stage=_staging(lake, batch_id, "json"),
+        stage=staging(lake.spark, f"{lake.root}/stage/{batch_id}/json"),
     )
     unified = silver.unified_transactions(
         silver.xml_transactions(xml, options.strict, options.grain), silver.flatten_json(json)

@@ -7,6 +7,8 @@ replaces exactly what it wrote before, and a failed batch leaves earlier snapsho
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,3 +152,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/rawstar-scratch"
     return f"{base.rstrip('/')}/rawstar-{name}-{uuid.uuid4().hex}"
+
+
+def staging(spark: SparkSession, path: str | None = None) -> Callable[[DataFrame], DataFrame]:
+    """A function that writes a relation once to the shared folder and reads it back.
+
+    It keeps a long plan from being worked out again for each of its readers, and what is written
+    outlives the executors that made it.
+    """
+    base = path or scratch_dir(spark, "stage")
+    made = iter(range(1_000_000))
+
+    def stage(df: DataFrame) -> DataFrame:
+        target = f"{base}/{next(made)}"
+        df.write.mode("overwrite").parquet(target)
+        return spark.read.schema(df.schema).parquet(target)
+
+    return stage
