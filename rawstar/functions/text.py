@@ -48,7 +48,15 @@ def cell_value(c: Column | str) -> Column:
 
 def unenclosed(c: Column | str) -> Column:
     """Drop one pair of double quotes around the whole line."""
-    return F.regexp_replace(_col(c), r'(?s)^"(.*)"$', "$1")
+    line = _col(c)
+    quoted = line.startswith('"') & line.endswith('"') & (F.length(line) > 1)
+    return F.when(quoted, F.substring(line, F.lit(2), F.length(line) - 2)).otherwise(line)
+
+
+def without_cr(c: Column | str) -> Column:
+    """Drop the carriage return of a CRLF line end."""
+    line = _col(c)
+    return F.when(line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
 
 
 # --- casts ------------------------------------------------------------------------------------
@@ -76,7 +84,10 @@ def amount_or_zero(c: Column | str, strict: bool = False) -> Column:
 
 def strip_dashed(c: Column | str) -> Column:
     """Remove every '-----...-----' stretch of an XML line."""
-    return F.regexp_replace(_col(c), r"-----[\s\S]*?-----", "")
+    line = _col(c)
+    return F.when(
+        line.contains("-----"), F.regexp_replace(line, r"-----[\s\S]*?-----", "")
+    ).otherwise(line)
 
 
 def strip_root(c: Column | str, root: str) -> Column:
@@ -111,26 +122,37 @@ def strip_semicolons(c: Column | str) -> Column:
 
 
 # --- file names -------------------------------------------------------------------------------
+#
+# Evaluated for every line, so they avoid regular expressions and decode only what is encoded.
 
 # Suffixes a codec adds to a file name (fixed values).
-CODEC_SUFFIX = r"\.(gz|bz2|zst|lz4|snappy|deflate)$"
+CODEC_SUFFIXES = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
 
 
 def decoded_path(c: Column | str) -> Column:
     """Undo the percent-encoding of file metadata paths; a literal '+' stays a '+'."""
-    return F.url_decode(F.replace(_col(c), F.lit("+"), F.lit("%2B")))
+    path = _col(c)
+    return F.when(
+        path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    ).otherwise(path)
 
 
 def relative_name(path: Column | str, root: str) -> Column:
     """File name relative to the landing root."""
-    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*(?=/)", "", root).rstrip("/")
-    return F.regexp_replace(_col(path), "^.*?" + re.escape(bare) + "/+", "")
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*(?=/)", "", root).rstrip("/") + "/"
+    full = _col(path)
+    at = F.instr(full, bare)
+    return F.when(at > 0, F.substring(full, at + len(bare), F.length(full))).otherwise(full)
 
 
 def normalised_name(c: Column | str) -> Column:
     """Name used for routing: lower case, no codec suffix, '_' for spaces."""
-    lowered = F.regexp_replace(F.lower(_col(c)), CODEC_SUFFIX, "")
-    return F.replace(lowered, F.lit(" "), F.lit("_"))
+    name = F.replace(F.lower(_col(c)), F.lit(" "), F.lit("_"))
+    bare = name
+    for suffix in CODEC_SUFFIXES:
+        cut = F.substring(name, F.lit(1), F.length(name) - len(suffix))
+        bare = F.when(name.endswith(suffix), cut).otherwise(bare)
+    return bare
 
 
 # --- predicates -------------------------------------------------------------------------------

@@ -42,12 +42,22 @@ def with_file_bytes(lines: DataFrame, content: str) -> DataFrame:
 
 
 def ordered_concat(
-    df: DataFrame, keys: list[str], content: str, order: list[str], separator: str = ""
+    df: DataFrame,
+    keys: list[str],
+    content: str,
+    order: list[str],
+    separator: str = "",
+    spread: bool = True,
 ) -> DataFrame:
-    """`content` joined per key in `order`; NULL pieces are skipped."""
+    """`content` joined per key in `order`; NULL pieces are skipped.
+
+    Joining text makes nothing smaller, so with `spread` rows are sent to their key first and a
+    partial aggregate before the shuffle, which would only copy them, is left out.
+    """
     quoted = "'" + separator.replace("\\", "\\\\").replace("\n", "\\n").replace("'", "\\'") + "'"
     joined = F.expr(f"listagg({content}, {quoted}) WITHIN GROUP (ORDER BY {', '.join(order)})")
-    return df.groupBy(*keys).agg(joined.alias(content))
+    placed = df.repartition(*keys) if spread else df
+    return placed.groupBy(*keys).agg(joined.alias(content))
 
 
 # --- long files -------------------------------------------------------------------------------
@@ -144,7 +154,9 @@ def join_pieces(pieces: DataFrame, content: str) -> DataFrame:
     keys = ["file_name", "record_no"]
     parts = placed.filter("NOT _whole")
     closed = parts.filter("closes").select(*keys).distinct()
-    joined = ordered_concat(parts.join(closed, keys, "left_semi"), keys, content, ["chunk"])
+    joined = ordered_concat(
+        parts.join(closed, keys, "left_semi"), keys, content, ["chunk"], spread=False
+    )
     return placed.filter("_whole").select(*keys, content).unionByName(joined)
 
 
@@ -394,13 +406,15 @@ def json_elements(
     keep_urls: bool = False,
     chunk_rows: int = CHUNK_ROWS,
     oversize: bool = True,
+    dedup: bool = True,
     stage: Stage = _as_is,
 ) -> tuple[DataFrame, DataFrame]:
     """(elements, unparsable), as `xml_elements`; here t is a variant.
 
-    A file that does not parse yields no element; it shows up in unparsable.
+    A file that does not parse yields no element; it shows up in unparsable. Lines that are known
+    to be there once each need no `dedup`.
     """
-    unique = dedup_lines(lines, content)
+    unique = dedup_lines(lines, content) if dedup else lines
     docs = rebuild_json(
         unique.filter(F.col("file_bytes") <= max_bytes), content, keep_urls
     ).withColumn("doc", F.try_parse_json(content))

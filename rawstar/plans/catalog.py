@@ -480,8 +480,10 @@ _XML_COLUMNS = [
 
 
 def _xml_flat(spark: SparkSession, sf_dir: str, max_bytes: int) -> DataFrame:
-    lines = documents.with_file_bytes(r.order_xml(table(spark, sf_dir, "orders")), "raw_content")
-    elements, _ = documents.xml_elements(lines, max_bytes=max_bytes, stage=staging(spark))
+    lines = r.order_xml(table(spark, sf_dir, "orders"))
+    elements, _ = documents.xml_elements(
+        lines, max_bytes=max_bytes, oversize=max_bytes < r.FILE_BYTES, stage=staging(spark)
+    )
     return silver.flatten_xml(elements).select(*_XML_COLUMNS)
 
 
@@ -511,16 +513,12 @@ FROM orders
 """)
 def xml_standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = r.order_xml(table(spark, sf_dir, "orders"), copies=True)
-    elements, _ = documents.xml_elements(
-        documents.with_file_bytes(lines, "raw_content"), oversize=False,
-        max_bytes=documents.MAX_DOCUMENT_BYTES,
-    )
+    elements, _ = documents.xml_elements(lines, oversize=False)
     return _rounded(silver.xml_transactions(elements), "payment_amount").drop("filename")
 
 
 def _json_lines(lines: DataFrame) -> DataFrame:
-    loaded = lines.withColumn("load_dt", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-    return documents.with_file_bytes(loaded, "raw_content")
+    return lines.withColumn("load_dt", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 @query("""
@@ -528,7 +526,7 @@ SELECT event_id, event_type AS kind, CAST(props->>'k' AS BIGINT) AS k FROM event
 """)
 def json_clean_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _json_lines(r.event_json(table(spark, sf_dir, "events")))
-    elements, _ = documents.json_elements(lines)
+    elements, _ = documents.json_elements(lines, oversize=False)
     return elements.select(
         F.try_variant_get("t", "$.id", "bigint").alias("event_id"),
         F.try_variant_get("t", "$.kind", "string").alias("kind"),
@@ -554,7 +552,9 @@ WHERE o_orderstatus <> 'P'
 
 def _json_flat(spark: SparkSession, sf_dir: str, max_bytes: int) -> DataFrame:
     lines = _json_lines(r.order_json(table(spark, sf_dir, "orders")))
-    elements, _ = documents.json_elements(lines, max_bytes=max_bytes, stage=staging(spark))
+    elements, _ = documents.json_elements(
+        lines, max_bytes=max_bytes, oversize=max_bytes < r.FILE_BYTES, stage=staging(spark)
+    )
     return _rounded(silver.flatten_json(elements), "payment_amount")
 
 

@@ -55,6 +55,7 @@ def build_transactions(
         lake.raw_lines("json"),
         max_bytes=limit,
         keep_urls=options.keep_urls,
+        dedup=False,  # raw_lines gives each line of a file once
         oversize=_has_oversize(lake, "json", limit),
         stage=staging(lake.spark, f"{lake.root}/stage/{batch_id}/json"),
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_FILE = 500
 LINES_PER_ROW = 100
+FILE_BYTES = ROWS_PER_FILE * LINES_PER_ROW * 60  # about the most a record file can hold
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +97,7 @@ def record_lines(
         "file_name",
         (F.col("_base") + F.col("_pos") + 1).alias("file_row_number"),
         F.nullif("raw_content", F.lit("")).alias("raw_content"),
+        F.lit(FILE_BYTES).cast("bigint").alias("file_bytes"),
     )
 
 
@@ -252,6 +254,7 @@ def json_file(lines: DataFrame) -> DataFrame:
             "file_name",
             F.col("r.n").alias("file_row_number"),
             F.col("r.line").alias("raw_content"),
+            F.lit(FILE_BYTES).cast("bigint").alias("file_bytes"),
         )
     )
     return lines.unionByName(tails)
