@@ -77,8 +77,11 @@ def chunk_documents(
     """
     if "chunk" not in lines.columns:
         lines = lines.withColumn("chunk", F.expr(f"(file_row_number - 1) div {chunk_rows}"))
+    # Stated here, the key filters are the same for every reader of the chunks, so that all of
+    # them share one shuffle.
+    placed = lines.filter("file_name IS NOT NULL AND chunk IS NOT NULL")
     return ordered_concat(
-        lines.select("file_name", "chunk", "file_row_number", content),
+        placed.select("file_name", "chunk", "file_row_number", content),
         ["file_name", "chunk"],
         content,
         ["file_row_number"],
@@ -241,36 +244,42 @@ def xml_elements(
 
     elements: file_name, record_no, t (the transaction). unparsable: file_name, record_no, content;
     record_no is NULL where a whole document does not parse. Pass `oversize=False` when no file is
-    above `max_bytes`, to leave that branch out of the plan.
+    above `max_bytes`, to leave that branch out of the plan. With a `stage`, both results come from
+    one parse.
     """
     docs = parse_xml_documents(
         rebuild_xml(lines.filter(F.col("file_bytes") <= max_bytes), content), content, strict
     )
-    elements = docs.select(
-        "file_name", F.posexplode("doc.Transaction").alias("_pos", "t")
-    ).select("file_name", (F.col("_pos") + 1).cast("bigint").alias("record_no"), "t")
-    bad = docs.filter("doc._corrupt IS NOT NULL").select(
+    parsed = docs.select(
         "file_name",
-        F.lit(None).cast("bigint").alias("record_no"),
-        F.col("doc._corrupt").alias("content"),
-    )
-    if not oversize:
-        return elements, bad
-    records = stage(
-        cut_xml_records(
+        F.col("doc._corrupt").alias("bad"),
+        F.posexplode_outer("doc.Transaction").alias("_pos", "t"),
+    ).select("file_name", (F.col("_pos") + 1).cast("bigint").alias("record_no"), "t", "bad")
+    if oversize:
+        records = cut_xml_records(
             lines.filter(F.col("file_bytes") > max_bytes),
             content,
             chunk_rows=chunk_rows,
             stage=stage,
+        ).withColumn("rec", F.from_xml(content, XML_RECORD_DDL, _xml_options(strict)))
+        fields = [F.col(f"rec.{f}").alias(f) for f in XML_TOP_FIELDS]
+        cut = records.select(
+            "file_name",
+            "record_no",
+            F.when(F.col("rec._corrupt").isNull(), F.struct(*fields)).alias("t"),
+            F.col("rec._corrupt").alias("bad"),
         )
-    ).withColumn("rec", F.from_xml(content, XML_RECORD_DDL, _xml_options(strict)))
-    cut = records.filter("rec._corrupt IS NULL").select(
-        "file_name", "record_no", F.struct(*[F.col(f"rec.{f}").alias(f) for f in XML_TOP_FIELDS]).alias("t")
-    )
-    cut_bad = records.filter("rec._corrupt IS NOT NULL").select(
-        "file_name", "record_no", F.col("rec._corrupt").alias("content")
+        parsed = parsed.unionByName(cut)
+    return _good_and_bad(stage(parsed))
+
+
+def _good_and_bad(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Parsed transactions, and the text of what does not parse."""
+    good = parsed.filter("t IS NOT NULL AND bad IS NULL").drop("bad")
+    bad = parsed.filter("bad IS NOT NULL").select(
+        "file_name", "record_no", F.col("bad").alias("content")
     )
-    return elements.unionByName(cut), bad.unionByName(cut_bad)
+    return good, bad
 
 
 # --- JSON -------------------------------------------------------------------------------------
@@ -418,25 +427,24 @@ def json_elements(
     docs = rebuild_json(
         unique.filter(F.col("file_bytes") <= max_bytes), content, keep_urls
     ).withColumn("doc", F.try_parse_json(content))
-    elements = docs.select(
-        "file_name", F.posexplode(variant_members("doc", "$.transactions")).alias("_pos", "t")
-    ).select("file_name", (F.col("_pos") + 1).cast("bigint").alias("record_no"), "t")
-    bad = docs.filter("doc IS NULL").select(
-        "file_name", F.lit(None).cast("bigint").alias("record_no"), F.col(content).alias("content")
-    )
-    if not oversize:
-        return elements, bad
-    records = stage(
-        cut_json_records(
+    parsed = docs.select(
+        "file_name",
+        F.when(F.col("doc").isNull(), F.col(content)).alias("bad"),
+        F.posexplode_outer(variant_members("doc", "$.transactions")).alias("_pos", "t"),
+    ).select("file_name", (F.col("_pos") + 1).cast("bigint").alias("record_no"), "t", "bad")
+    if oversize:
+        records = cut_json_records(
             unique.filter(F.col("file_bytes") > max_bytes),
             content,
             keep_urls=keep_urls,
             chunk_rows=chunk_rows,
             stage=stage,
+        ).withColumn("t", F.try_parse_json(content))
+        cut = records.select(
+            "file_name",
+            "record_no",
+            "t",
+            F.when(F.col("t").isNull(), F.col(content)).alias("bad"),
         )
-    ).withColumn("t", F.try_parse_json(content))
-    cut = records.filter("t IS NOT NULL").select("file_name", "record_no", "t")
-    cut_bad = records.filter("t IS NULL").select(
-        "file_name", "record_no", F.col(content).alias("content")
-    )
-    return elements.unionByName(cut), bad.unionByName(cut_bad)
+        parsed = parsed.unionByName(cut)
+    return _good_and_bad(stage(parsed))

@@ -450,7 +450,7 @@ def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
             r.payment_csv(orders),
         ],
     )
-    return silver.csv_rejects(lines)
+    return silver.csv_rejects({name: rank(lines) for name, rank in silver.LATEST.items()})
 
 
 # --- XML and JSON -----------------------------------------------------------------------------

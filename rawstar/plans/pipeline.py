@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawstar import schemas
 from rawstar.operators.documents import MAX_DOCUMENT_BYTES, json_elements, xml_elements
 from rawstar.plans import gold, rules, silver
 from rawstar.plans.control import BatchControl
@@ -68,33 +67,36 @@ def build_transactions(
 def build_silver(lake: Lake, batch_id: str, options: PipelineOptions) -> None:
     """Transactions first, as five later steps read them; then each dimension.
 
-    A dimension is written once from its files and once completed: the anti join reads it twice, so
-    it reads columns instead of parsing lines twice.
+    The ranked rows of each CSV source are stored once: the dimension, its keys in the anti join and
+    the list of rejects all read columns instead of parsing and ranking lines again.
     """
-    lines = lake.raw_lines("csv")
     unified, bad = build_transactions(lake, batch_id, options)
     lake.write(unified, "silver", "slv_transactions", batch_id, options.append)
+
+    lines = lake.raw_lines("csv")
+    stage = staging(lake.spark, f"{lake.root}/stage/{batch_id}/csv")
+    latest = {name: stage(rank(lines)) for name, rank in silver.LATEST.items()}
     if options.quarantine:
         lake.write(bad, "silver", "unparsable_documents", batch_id, options.append)
-        lake.write(silver.csv_rejects(lines), "silver", "csv_rejects", batch_id, options.append)
+        rejected = silver.csv_rejects(latest)
+        lake.write(rejected, "silver", "csv_rejects", batch_id, options.append)
 
-    base = {
-        "dim_customers": silver.dim_customers(lines),
-        "dim_product": silver.dim_product(lines, options.strict),
-        "dim_payments": silver.dim_payments(lines, options.strict),
-        "dim_order": silver.dim_order(lines, options.strict),
-    }
     transactions = lake.silver("slv_transactions", batch_id)
+    customers = silver.union_customers(
+        silver.clean_customers_b(latest["customers_b"]),
+        silver.clean_customers_a(latest["customers_a"]),
+    )
+    products = silver.clean_products(latest["products"], options.strict)
+    payments = silver.clean_payments(latest["payments"], options.strict)
+    orders = silver.clean_orders(latest["orders"], options.strict)
     complete = {
-        "dim_customers": lambda d: rules.infer_customers(d, transactions, options.unique_key),
-        "dim_product": lambda d: rules.infer_products(d, transactions),
-        "dim_payments": lambda d: rules.infer_payments(d, transactions),
-        "dim_order": lambda d: rules.infer_orders(d, transactions),
+        "dim_customers": rules.infer_customers(customers, transactions, options.unique_key),
+        "dim_product": rules.infer_products(products, transactions),
+        "dim_payments": rules.infer_payments(payments, transactions),
+        "dim_order": rules.infer_orders(orders, transactions),
     }
-    for table, df in base.items():
-        lake.write(df, "silver", f"_base_{table}", batch_id)
-        stored = lake.read("silver", f"_base_{table}", schemas.SILVER_TABLES[table], batch_id)
-        lake.write(complete[table](stored), "silver", table, batch_id, options.append)
+    for table, df in complete.items():
+        lake.write(df, "silver", table, batch_id, options.append)
 
 
 def build_gold(lake: Lake, batch_id: str, options: PipelineOptions) -> None:

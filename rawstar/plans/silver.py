@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,12 +58,34 @@ def latest_payments(lines: DataFrame) -> DataFrame:
     return keep_latest(read_source(lines, schemas.PAYMENTS), ["payment_id"], _newest([]))
 
 
-# --- dimensions -------------------------------------------------------------------------------
-
-
-def customers_a(lines: DataFrame) -> DataFrame:
-    kept = latest_customers_a(lines).filter(flag_ok({"is_active": [NULL_HEAVY]}))
-    return kept.select(
+# --- dimensions, from ranked rows --------------------------------------------------------------
+
+# Flag columns of each source and the patterns that reject a row.
+FLAGS = {
+    "customers_a": {"is_active": [NULL_HEAVY]},
+    "customers_b": {"is_active": [NULL_HEAVY]},
+    "products": {"is_active": [ANOMALY]},
+    "orders": {"order_status": [INVALID_CUSTOMER], "channel": [INVALID_CUSTOMER]},
+    "payments": {},
+}
+KEYS = {
+    "customers_a": "customer_id",
+    "customers_b": "customer_id",
+    "products": "sku",
+    "orders": "order_id",
+    "payments": "payment_id",
+}
+LATEST = {
+    "customers_a": latest_customers_a,
+    "customers_b": latest_customers_b,
+    "products": latest_products,
+    "orders": latest_orders,
+    "payments": latest_payments,
+}
+
+
+def clean_customers_a(latest: DataFrame) -> DataFrame:
+    return latest.filter(flag_ok(FLAGS["customers_a"])).select(
         "customer_id",
         text.or_unknown("customer_name").alias("customer_name"),
         text.or_unknown("email").alias("email"),
@@ -71,9 +95,8 @@ def customers_a(lines: DataFrame) -> DataFrame:
     )
 
 
-def customers_b(lines: DataFrame) -> DataFrame:
-    kept = latest_customers_b(lines).filter(flag_ok({"is_active": [NULL_HEAVY]}))
-    return kept.select(
+def clean_customers_b(latest: DataFrame) -> DataFrame:
+    return latest.filter(flag_ok(FLAGS["customers_b"])).select(
         "customer_id",
         text.or_unknown("customer_name").alias("customer_name"),
         F.when(text.any_like("is_active", *BAD_EMAIL), schemas.UNKNOWN)
@@ -84,22 +107,8 @@ def customers_b(lines: DataFrame) -> DataFrame:
     )
 
 
-def union_customers(b: DataFrame, a: DataFrame) -> DataFrame:
-    """Both sources in one shape, exact duplicates once."""
-    unknown = F.lit(schemas.UNKNOWN)
-    names = schemas.columns(schemas.CUSTOMER_DDL)
-    from_b = b.withColumns({"loyalty_tier": unknown, "signup_source": unknown}).select(*names)
-    from_a = a.withColumns({"segment": unknown}).select(*names)
-    return from_b.unionByName(from_a).distinct()
-
-
-def dim_customers(lines: DataFrame) -> DataFrame:
-    return union_customers(customers_b(lines), customers_a(lines))
-
-
-def dim_product(lines: DataFrame, strict: bool = False) -> DataFrame:
-    kept = latest_products(lines).filter(flag_ok({"is_active": [ANOMALY]}))
-    return kept.select(
+def clean_products(latest: DataFrame, strict: bool = False) -> DataFrame:
+    return latest.filter(flag_ok(FLAGS["products"])).select(
         "sku",
         "product_name",
         "category",
@@ -109,11 +118,8 @@ def dim_product(lines: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def dim_order(lines: DataFrame, strict: bool = False) -> DataFrame:
-    kept = latest_orders(lines).filter(
-        flag_ok({"order_status": [INVALID_CUSTOMER], "channel": [INVALID_CUSTOMER]})
-    )
-    return kept.select(
+def clean_orders(latest: DataFrame, strict: bool = False) -> DataFrame:
+    return latest.filter(flag_ok(FLAGS["orders"])).select(
         "order_id",
         "customer_id",
         text.to_date("order_date", strict).alias("order_date"),
@@ -127,8 +133,8 @@ def refund_magnitude(amount: str, status: str) -> Column:
     return F.when(F.col(status).like(REFUNDED), F.abs(amount)).otherwise(F.col(amount))
 
 
-def dim_payments(lines: DataFrame, strict: bool = False) -> DataFrame:
-    paid = latest_payments(lines).withColumn("amount", text.to_double("amount", strict))
+def clean_payments(latest: DataFrame, strict: bool = False) -> DataFrame:
+    paid = latest.withColumn("amount", text.to_double("amount", strict))
     return paid.select(
         "payment_id",
         "order_id",
@@ -139,39 +145,74 @@ def dim_payments(lines: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def csv_rejects(lines: DataFrame) -> DataFrame:
-    """What the dimensions leave out or could not cast: (source, key, reason, detail)."""
+def union_customers(b: DataFrame, a: DataFrame) -> DataFrame:
+    """Both sources in one shape, exact duplicates once."""
+    unknown = F.lit(schemas.UNKNOWN)
+    names = schemas.columns(schemas.CUSTOMER_DDL)
+    from_b = b.withColumns({"loyalty_tier": unknown, "signup_source": unknown}).select(*names)
+    from_a = a.withColumns({"segment": unknown}).select(*names)
+    return from_b.unionByName(from_a).distinct()
 
-    def flagged(df: DataFrame, source: str, key: str, flags: dict[str, list[str]]) -> DataFrame:
-        bad = df.filter(~F.coalesce(flag_ok(flags), F.lit(False)))
-        detail = F.concat_ws(" | ", *flags)
-        return bad.select(
-            F.lit(source).alias("source"), F.col(key).alias("key"), F.lit("flagged").alias("reason"),
-            detail.alias("detail"),
-        )
 
-    def uncast(df: DataFrame, source: str, key: str, column: str, cast: Column) -> DataFrame:
-        return df.filter(F.col(column).isNotNull() & cast.isNull()).select(
-            F.lit(source).alias("source"), F.col(key).alias("key"),
-            F.lit(f"bad {column}").alias("reason"), F.col(column).alias("detail"),
+# --- dimensions, from lines --------------------------------------------------------------------
+
+
+def customers_a(lines: DataFrame) -> DataFrame:
+    return clean_customers_a(latest_customers_a(lines))
+
+
+def customers_b(lines: DataFrame) -> DataFrame:
+    return clean_customers_b(latest_customers_b(lines))
+
+
+def dim_customers(lines: DataFrame) -> DataFrame:
+    return union_customers(customers_b(lines), customers_a(lines))
+
+
+def dim_product(lines: DataFrame, strict: bool = False) -> DataFrame:
+    return clean_products(latest_products(lines), strict)
+
+
+def dim_order(lines: DataFrame, strict: bool = False) -> DataFrame:
+    return clean_orders(latest_orders(lines), strict)
+
+
+def dim_payments(lines: DataFrame, strict: bool = False) -> DataFrame:
+    return clean_payments(latest_payments(lines), strict)
+
+
+def rejects(latest: DataFrame, source: str) -> DataFrame:
+    """What a dimension leaves out or cannot cast: (source, key, reason, detail), in one pass."""
+    casts = {
+        "products": ("unit_price", text.to_double),
+        "orders": ("order_date", text.to_date),
+        "payments": ("amount", text.to_double),
+    }
+    reasons = []
+    if FLAGS[source]:
+        bad = ~F.coalesce(flag_ok(FLAGS[source]), F.lit(False))
+        detail = F.concat_ws(" | ", *FLAGS[source])
+        reasons.append(
+            F.when(bad, F.struct(F.lit("flagged").alias("reason"), detail.alias("detail")))
+        )
+    if source in casts:
+        column, cast = casts[source]
+        reasons.append(
+            F.when(
+                F.col(column).isNotNull() & cast(column).isNull(),
+                F.struct(F.lit(f"bad {column}").alias("reason"), F.col(column).alias("detail")),
+            )
         )
+    return latest.select(
+        F.lit(source).alias("source"),
+        F.col(KEYS[source]).alias("key"),
+        F.inline(F.array_compact(F.array(*reasons))),
+    )
 
-    parts = [
-        flagged(latest_customers_a(lines), "customers_a", "customer_id", {"is_active": [NULL_HEAVY]}),
-        flagged(latest_customers_b(lines), "customers_b", "customer_id", {"is_active": [NULL_HEAVY]}),
-        flagged(latest_products(lines), "products", "sku", {"is_active": [ANOMALY]}),
-        flagged(
-            latest_orders(lines), "orders", "order_id",
-            {"order_status": [INVALID_CUSTOMER], "channel": [INVALID_CUSTOMER]},
-        ),
-        uncast(latest_products(lines), "products", "sku", "unit_price", text.to_double("unit_price")),
-        uncast(latest_orders(lines), "orders", "order_id", "order_date", text.to_date("order_date")),
-        uncast(latest_payments(lines), "payments", "payment_id", "amount", text.to_double("amount")),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+
+def csv_rejects(latest: dict[str, DataFrame]) -> DataFrame:
+    """`rejects` of every source; `latest` maps a source to its ranked rows."""
+    return reduce(DataFrame.unionByName, [rejects(df, name) for name, df in latest.items()])
 
 
 # --- transactions -----------------------------------------------------------------------------
