@@ -1,0 +1,116 @@
+import gzip
+
+import pytest
+from pyspark.sql import functions as F
+
+from rawstar.plans.control import BatchControl, EmptyBatchError, NoRunningBatchError
+from rawstar.sources.ingest import ingest, loaded_files, new_files
+from rawstar.sources.lake import Lake
+from rawstar.sources.raw_lines import list_landing
+from rawstar.streaming.ingest import ingest_available
+
+
+def numbered(lake, kind="csv"):
+    rows = lake.raw_lines(kind).select("file_name", "file_row_number", "raw_content").collect()
+    return sorted(tuple(r) for r in rows)
+
+
+def test_exact_numbers_in_files_of_many_splits(spark, tmp_path):
+    landing = tmp_path / "csv.in" / "Client B"
+    landing.mkdir(parents=True)
+    texts = {
+        "Client B/a+b 1.csv": [f"row {i} " + "x" * (i % 50 + 1) for i in range(1, 4001)],
+        "Client B/c[1].CSV": [f"c{i}" for i in range(1, 900)],
+        "Client B/d.csv.gz": [f"d{i}" for i in range(1, 700)],
+    }
+    (landing / "a+b 1.csv").write_text("\n".join(texts["Client B/a+b 1.csv"]))
+    (landing / "c[1].CSV").write_text("\r\n".join(texts["Client B/c[1].CSV"]) + "\r\n")
+    (landing / "d.csv.gz").write_bytes(gzip.compress("\n".join(texts["Client B/d.csv.gz"]).encode()))
+    (landing / "other.dat").write_text("not csv, though a folder name matches")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        ingest(lake, str(tmp_path / "csv.in"), "B1")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = sorted((f, i, t) for f, ts in texts.items() for i, t in enumerate(ts, start=1))
+    assert numbered(lake) == want
+    splits = lake.raw_splits("csv").groupBy("file_name").count().collect()
+    assert {r["file_name"]: r["count"] for r in splits}["Client B/a+b 1.csv"] > 10
+    chunks = lake.raw_lines("csv").select("chunk").distinct().count()
+    assert chunks >= lake.raw_splits("csv").select("first_row_number").distinct().count()
+    names = lake.raw_lines("csv").select("source_name").distinct().collect()
+    assert {r[0] for r in names} == {"client_b/a+b_1.csv", "client_b/c[1].csv", "client_b/d.csv"}
+
+
+def test_blank_lines_are_kept_as_null(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('"x,y"  \n\n  \nz')
+    (tmp_path / "in" / "b.json").write_text('"x"\n\n z ')
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest(lake, str(tmp_path / "in"), "B1")
+    assert [r[2] for r in numbered(lake)] == ["x,y", None, None, "z"]
+    assert [r[2] for r in numbered(lake, "json")] == ['"x"', None, " z "]
+
+
+def test_files_are_loaded_once_and_changed_files_replaced(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.csv").write_text("1\n2")
+    (source / "b.csv").write_text("3")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest(lake, str(source), "B1")
+    assert new_files(lake, str(source), r".*\.csv.*").count() == 0
+    ingest(lake, str(source), "B2")
+    assert loaded_files(lake).count() == 2
+    (source / "a.csv").write_text("1 changed")
+    ingest(lake, str(source), "B3")
+    assert numbered(lake) == [("a.csv", 1, "1 changed"), ("b.csv", 1, "3")]
+    listed = list_landing(spark, str(source)).orderBy("file_path").collect()
+    assert [r["file_size"] for r in listed] == [9, 1]
+
+
+def test_retried_batch_leaves_the_same_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("1\n2")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest(lake, str(tmp_path / "in"), "B1", only_new=False)
+    first = numbered(lake)
+    ingest(lake, str(tmp_path / "in"), "B1", only_new=False)
+    assert numbered(lake) == first
+
+
+def test_stream_sees_each_file_once(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.json").write_text("1\n2")
+    (source / "x.csv").write_text("no")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest_available(lake, str(source), "json")
+    ingest_available(lake, str(source), "json")
+    assert numbered(lake, "json") == [("a.json", 1, "1"), ("a.json", 2, "2")]
+    (source / "b.json").write_text("3")
+    ingest_available(lake, str(source), "json", max_files_per_trigger=1)
+    assert len(numbered(lake, "json")) == 3
+
+
+def test_batch_life_cycle(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    control = BatchControl(lake)
+    first = control.start()
+    assert first.startswith("BATCH_") and len(first) == len("BATCH_20250101_000000")
+    second = control.start("BATCH_2")
+    assert control.latest_running() == second
+    control.record_counts(second)
+    with pytest.raises(EmptyBatchError):
+        control.assert_not_empty(second)
+    assert control.latest_running() == first
+    control.end(first)
+    with pytest.raises(NoRunningBatchError):
+        control.latest_running()
+    control.fail(second, "why")
+    states = {r["batch_id"]: (r["status"], r["error_message"]) for r in control.state().collect()}
+    assert states == {first: ("SUCCESS", None), second: ("FAILED", "why")}
+    assert control.events().filter(F.col("batch_id") == second).count() == 3
+    with pytest.raises(NoRunningBatchError):
+        control.end("nope")
