@@ -19,7 +19,7 @@ from rawstar.plans import control, gold, rules, silver
 from rawstar.plans import render as r
 from rawstar.plans.render import cat, money, table, txt
 from rawstar.sources.ingest import ingest
-from rawstar.sources.lake import Lake, scratch_dir, staging
+from rawstar.sources.lake import Lake, Staging, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -482,7 +482,7 @@ _XML_COLUMNS = [
 def _xml_flat(spark: SparkSession, sf_dir: str, max_bytes: int) -> DataFrame:
     lines = r.order_xml(table(spark, sf_dir, "orders"))
     elements, _ = documents.xml_elements(
-        lines, max_bytes=max_bytes, oversize=max_bytes < r.FILE_BYTES, stage=staging(spark)
+        lines, max_bytes=max_bytes, oversize=max_bytes < r.FILE_BYTES, stage=Staging(spark)
     )
     return silver.flatten_xml(elements).select(*_XML_COLUMNS)
 
@@ -553,7 +553,7 @@ WHERE o_orderstatus <> 'P'
 def _json_flat(spark: SparkSession, sf_dir: str, max_bytes: int) -> DataFrame:
     lines = _json_lines(r.order_json(table(spark, sf_dir, "orders")))
     elements, _ = documents.json_elements(
-        lines, max_bytes=max_bytes, oversize=max_bytes < r.FILE_BYTES, stage=staging(spark)
+        lines, max_bytes=max_bytes, oversize=max_bytes < r.FILE_BYTES, stage=Staging(spark)
     )
     return _rounded(silver.flatten_json(elements), "payment_amount")
 

@@ -11,7 +11,7 @@ from rawstar.operators.documents import MAX_DOCUMENT_BYTES, json_elements, xml_e
 from rawstar.plans import gold, rules, silver
 from rawstar.plans.control import BatchControl
 from rawstar.sources.ingest import ingest
-from rawstar.sources.lake import Lake, staging
+from rawstar.sources.lake import Lake, Staging
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ def _has_oversize(lake: Lake, kind: str, limit: int) -> bool:
 
 
 def build_transactions(
-    lake: Lake, batch_id: str, options: PipelineOptions
+    lake: Lake, stage: Staging, options: PipelineOptions
 ) -> tuple[DataFrame, DataFrame]:
     """(unified transactions, unparsable documents) from all raw lines."""
     limit = options.max_document_bytes
@@ -48,7 +48,7 @@ def build_transactions(
         max_bytes=limit,
         strict=options.strict,
         oversize=_has_oversize(lake, "xml", limit),
-        stage=staging(lake.spark, f"{lake.root}/stage/{batch_id}/xml"),
+        stage=stage,
     )
     json, bad_json = json_elements(
         lake.raw_lines("json"),
@@ -56,7 +56,7 @@ def build_transactions(
         keep_urls=options.keep_urls,
         dedup=False,  # raw_lines gives each line of a file once
         oversize=_has_oversize(lake, "json", limit),
-        stage=staging(lake.spark, f"{lake.root}/stage/{batch_id}/json"),
+        stage=stage,
     )
     unified = silver.unified_transactions(
         silver.xml_transactions(xml, options.strict, options.grain), silver.flatten_json(json)
@@ -70,11 +70,11 @@ def build_silver(lake: Lake, batch_id: str, options: PipelineOptions) -> None:
     The ranked rows of each CSV source are stored once: the dimension, its keys in the anti join and
     the list of rejects all read columns instead of parsing and ranking lines again.
     """
-    unified, bad = build_transactions(lake, batch_id, options)
+    stage = Staging(lake.spark, f"{lake.root}/stage/{batch_id}")
+    unified, bad = build_transactions(lake, stage, options)
     lake.write(unified, "silver", "slv_transactions", batch_id, options.append)
 
     lines = lake.raw_lines("csv")
-    stage = staging(lake.spark, f"{lake.root}/stage/{batch_id}/csv")
     latest = {name: stage(rank(lines)) for name, rank in silver.LATEST.items()}
     if options.quarantine:
         lake.write(bad, "silver", "unparsable_documents", batch_id, options.append)
@@ -97,6 +97,7 @@ def build_silver(lake: Lake, batch_id: str, options: PipelineOptions) -> None:
     }
     for table, df in complete.items():
         lake.write(df, "silver", table, batch_id, options.append)
+    stage.release()
 
 
 def build_gold(lake: Lake, batch_id: str, options: PipelineOptions) -> None:

@@ -80,11 +80,17 @@ def csv_envelope(lines: DataFrame, header: str) -> DataFrame:
     return lines.unionByName(envelope)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work where the table is stored in fewer pieces than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def record_lines(
     df: DataFrame, prefix: str, suffix: str, head: list[str], body: list[Column]
 ) -> DataFrame:
     """Lines of record files: `body` lines per input row, after `head` once per file."""
-    placed = df.withColumn("_id", F.monotonically_increasing_id())
+    placed = spread(df).withColumn("_id", F.monotonically_increasing_id())
     first = F.col("_id") % ROWS_PER_FILE == 0
     opened = F.when(first, F.array(*map(F.lit, head))).otherwise(F.array().cast("array<string>"))
     return placed.select(

@@ -21,7 +21,8 @@ RAW_LINE_DDL = (
 
 SPLIT_DDL = (
     "file_name string, source_name string, split_start bigint, first_line_id bigint, "
-    "first_row_number bigint, split_rows bigint, split_bytes bigint, file_rows bigint, file_bytes bigint"
+    "first_row_number bigint, split_rows bigint, split_bytes bigint, file_rows bigint, "
+    "file_bytes bigint, load_dt timestamp_ntz"
 )
 
 LEDGER_DDL = "file_path string, file_size bigint, modification_time timestamp_ntz"

@@ -7,13 +7,14 @@ replaces exactly what it wrote before, and a failed batch leaves earlier snapsho
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rawstar import schemas
+from rawstar.sources.raw_lines import newest_per_file, number_lines, summarise_splits
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -123,8 +124,6 @@ class Lake:
 
     def write_raw(self, lines: DataFrame, kind: str, batch_id: str) -> None:
         """Store scanned lines, then one summary row per split of each file."""
-        from rawstar.sources.raw_lines import summarise_splits
-
         table = schemas.RAW_TABLES[kind]
         self.write(lines, "bronze", table, batch_id)
         stored = self.read("bronze", table, schemas.RAW_LINE_DDL, batch_id)
@@ -132,8 +131,6 @@ class Lake:
 
     def raw_lines(self, kind: str) -> DataFrame:
         """Numbered lines of all batches; of a file loaded twice, only the newest copy."""
-        from rawstar.sources.raw_lines import newest_per_file, number_lines
-
         table = schemas.RAW_TABLES[kind]
         stored = self.read("bronze", table, schemas.RAW_LINE_DDL)
         splits = self.read("bronze", f"{table}_splits", schemas.SPLIT_DDL)
@@ -148,24 +145,29 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     Where the session names none (local tests), the default is local.
     """
-    import uuid
-
     base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/rawstar-scratch"
     return f"{base.rstrip('/')}/rawstar-{name}-{uuid.uuid4().hex}"
 
 
-def staging(spark: SparkSession, path: str | None = None) -> Callable[[DataFrame], DataFrame]:
-    """A function that writes a relation once to the shared folder and reads it back.
+class Staging:
+    """Writes a relation once to the shared folder and reads it back.
 
     It keeps a long plan from being worked out again for each of its readers, and what is written
     outlives the executors that made it.
     """
-    base = path or scratch_dir(spark, "stage")
-    made = iter(range(1_000_000))
 
-    def stage(df: DataFrame) -> DataFrame:
-        target = f"{base}/{next(made)}"
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark = spark
+        self.base = path or scratch_dir(spark, "stage")
+        self.made: list[tuple[str, StructType]] = []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        target = f"{self.base}/{len(self.made)}"
         df.write.mode("overwrite").parquet(target)
-        return spark.read.schema(df.schema).parquet(target)
+        self.made.append((target, df.schema))
+        return self.spark.read.schema(df.schema).parquet(target)
 
-    return stage
+    def release(self) -> None:
+        """Empty what was written, once nothing reads it any more."""
+        for target, schema in self.made:
+            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(target)

@@ -192,9 +192,10 @@ def test_second_batch(built, spark):
 
 def test_options(built, spark, tmp_path):
     from rawstar.plans.pipeline import build_transactions
+    from rawstar.sources.lake import Staging
 
     lake, _, _ = built
-    line, _ = build_transactions(lake, "X", PipelineOptions(grain="line"))
+    line, _ = build_transactions(lake, Staging(spark), PipelineOptions(grain="line"))
     got = sorted((r["transaction_id"], r["sku"]) for r in line.collect() if r["sku"][0] != "C")
     assert got == [
         ("T-1", "SKU-1"), ("T-1", "SKU-2"), ("T-2", "SKU-4"), ("T-3", "SKU-5"), ("T-4", "SKU-5"),
