@@ -90,14 +90,20 @@ def record_lines(
     df: DataFrame, prefix: str, suffix: str, head: list[str], body: list[Column]
 ) -> DataFrame:
     """Lines of record files: `body` lines per input row, after `head` once per file."""
-    placed = spread(df).withColumn("_id", F.monotonically_increasing_id())
-    first = F.col("_id") % ROWS_PER_FILE == 0
-    opened = F.when(first, F.array(*map(F.lit, head))).otherwise(F.array().cast("array<string>"))
+    # The upper bits of the id are the task, the lower ones count the rows of the task from 0.
+    placed = (
+        spread(df)
+        .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_task", F.shiftright("_at", 33))
+        .withColumn("_row", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    )
+    opened = F.when(first_in_file(), F.array(*map(F.lit, head))).otherwise(
+        F.array().cast("array<string>")
+    )
+    number = F.expr(f"_row div {ROWS_PER_FILE}")
     return placed.select(
-        F.concat(F.lit(prefix), txt(F.expr(f"_id div {ROWS_PER_FILE}")), F.lit(suffix)).alias(
-            "file_name"
-        ),
-        ((F.col("_id") % ROWS_PER_FILE) * LINES_PER_ROW).alias("_base"),
+        cat(prefix, txt("_task"), "_", txt(number), suffix).alias("file_name"),
+        ((F.col("_row") % ROWS_PER_FILE) * LINES_PER_ROW).alias("_base"),
         F.posexplode(F.concat(opened, F.array(*body))).alias("_pos", "raw_content"),
     ).select(
         "file_name",
@@ -267,7 +273,7 @@ def json_file(lines: DataFrame) -> DataFrame:
 
 
 def first_in_file() -> Column:
-    return F.col("_id") % ROWS_PER_FILE == 0
+    return F.col("_row") % ROWS_PER_FILE == 0
 
 
 def comma() -> Column:
