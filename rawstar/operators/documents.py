@@ -20,8 +20,9 @@ from rawstar.functions import text
 from rawstar.operators.dedup import keep_latest
 from rawstar.schemas import XML_TRANSACTION_DDL
 
-MAX_DOCUMENT_BYTES = 8 * 1024 * 1024
-CHUNK_ROWS = 20_000
+MAX_DOCUMENT_BYTES = 1024 * 1024
+CHUNK_ROWS = 10_000
+BLOCK_ROWS = 250
 XML_DOCUMENT_DDL = f"Transaction array<struct<{XML_TRANSACTION_DDL}>>, _corrupt string"
 XML_RECORD_DDL = f"{XML_TRANSACTION_DDL}, _corrupt string"
 XML_TOP_FIELDS = ("TransactionID", "Order", "Items", "Payment")
@@ -41,23 +42,35 @@ def with_file_bytes(lines: DataFrame, content: str) -> DataFrame:
     return lines.join(sizes, "file_name")
 
 
+def _listagg(content: str, order: list[str], separator: str) -> Column:
+    quoted = separator.replace("\\", "\\\\").replace("\n", "\\n").replace("'", "\\'")
+    return F.expr(f"listagg({content}, '{quoted}') WITHIN GROUP (ORDER BY {', '.join(order)})")
+
+
 def ordered_concat(
-    df: DataFrame,
-    keys: list[str],
-    content: str,
-    order: list[str],
-    separator: str = "",
-    spread: bool = True,
+    df: DataFrame, keys: list[str], content: str, order: list[str], separator: str = ""
 ) -> DataFrame:
-    """`content` joined per key in `order`; NULL pieces are skipped.
+    """`content` joined per key in `order`; NULL pieces are skipped."""
+    return df.groupBy(*keys).agg(_listagg(content, order, separator).alias(content))
+
 
-    Joining text makes nothing smaller, so with `spread` rows are sent to their key first and a
-    partial aggregate before the shuffle, which would only copy them, is left out.
+def concat_lines(lines: DataFrame, keys: list[str], content: str, separator: str) -> DataFrame:
+    """The lines of each key as one text, in row order; NULL lines are skipped.
+
+    Rows are sent to their key first: joining text makes nothing smaller, so a partial aggregate
+    before the shuffle would only copy it. Lines are then joined in two steps, short blocks before
+    whole texts, with no second shuffle. An aggregate that collects keeps its first 128 groups on
+    the heap before it turns to sorting; with blocks those are small, and whole texts are held as
+    text, not as one object per line.
     """
-    quoted = "'" + separator.replace("\\", "\\\\").replace("\n", "\\n").replace("'", "\\'") + "'"
-    joined = F.expr(f"listagg({content}, {quoted}) WITHIN GROUP (ORDER BY {', '.join(order)})")
-    placed = df.repartition(*keys) if spread else df
-    return placed.groupBy(*keys).agg(joined.alias(content))
+    blocks = ordered_concat(
+        lines.repartition(*keys).withColumn("_block", F.expr(f"file_row_number div {BLOCK_ROWS}")),
+        [*keys, "_block"],
+        content,
+        ["file_row_number"],
+        separator,
+    )
+    return ordered_concat(blocks, keys, content, ["_block"], separator)
 
 
 # --- long files -------------------------------------------------------------------------------
@@ -80,11 +93,10 @@ def chunk_documents(
     # Stated here, the key filters are the same for every reader of the chunks, so that all of
     # them share one shuffle.
     placed = lines.filter("file_name IS NOT NULL AND chunk IS NOT NULL")
-    return ordered_concat(
+    return concat_lines(
         placed.select("file_name", "chunk", "file_row_number", content),
         ["file_name", "chunk"],
         content,
-        ["file_row_number"],
         separator,
     ).filter(F.col(content).isNotNull())
 
@@ -157,9 +169,7 @@ def join_pieces(pieces: DataFrame, content: str) -> DataFrame:
     keys = ["file_name", "record_no"]
     parts = placed.filter("NOT _whole")
     closed = parts.filter("closes").select(*keys).distinct()
-    joined = ordered_concat(
-        parts.join(closed, keys, "left_semi"), keys, content, ["chunk"], spread=False
-    )
+    joined = ordered_concat(parts.join(closed, keys, "left_semi"), keys, content, ["chunk"])
     return placed.filter("_whole").select(*keys, content).unionByName(joined)
 
 
@@ -171,7 +181,7 @@ def rebuild_xml(lines: DataFrame, content: str = "raw_content", root: str = "Sal
     cleaned = lines.select(
         "file_name", "file_row_number", text.strip_dashed(content).alias(content)
     )
-    whole = ordered_concat(cleaned, ["file_name"], content, ["file_row_number"])
+    whole = concat_lines(cleaned, ["file_name"], content, "")
     return whole.select(
         "file_name", text.wrap_root(text.strip_root(content, root), root).alias(content)
     )
@@ -296,12 +306,8 @@ def rebuild_json(
     lines: DataFrame, content: str = "raw_content", keep_urls: bool = False
 ) -> DataFrame:
     """(file_name, content): each file as one document without envelope, comments, semicolons."""
-    whole = ordered_concat(
-        lines.select("file_name", "file_row_number", content),
-        ["file_name"],
-        content,
-        ["file_row_number"],
-        "\n",
+    whole = concat_lines(
+        lines.select("file_name", "file_row_number", content), ["file_name"], content, "\n"
     )
     doc = text.strip_line_comments(text.strip_dash_lines(content), keep_urls)
     return whole.select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_FILE = 500
+ROWS_PER_FILE = 150
 LINES_PER_ROW = 100
 FILE_BYTES = ROWS_PER_FILE * LINES_PER_ROW * 60  # about the most a record file can hold
 
