@@ -96,7 +96,8 @@ def _pivot_block(p: np.ndarray, size: np.ndarray, rng) -> None:
 
 def _round_level(seed: int, level: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["mark", "doc_id", "size", "row"], kind="stable")
+        # from the longest document on, so that what stays fractional to the end is short
+        rows = rows.sort_values(["size", "mark", "doc_id", "row"], ascending=[False, True, True, True])
         draw = np.random.default_rng([seed, level, int(rows["mark"].iloc[0]) & (2**63 - 1)])
         p, size = rows["p"].to_numpy(copy=True), rows["size"].to_numpy(dtype=float)
         _pivot_block(p, size, draw)
