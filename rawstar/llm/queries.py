@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawstar.llm import bpe, chat, exact_dedup, licenses, mixing, pii, quality, simhash
+from rawstar.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    licenses,
+    mixing,
+    pii,
+    quality,
+    simhash,
+    suffix_dedup,
+)
 from rawstar.llm.base import table
 
 
@@ -46,6 +56,18 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    n_kept = F.octet_length("kept").cast("long")
+    return cleaned.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - n_kept).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     taken = F.col("copies") * F.col("size")
@@ -66,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_chat_windows": op4_chat_windows,
     "op5_quality": op5_quality,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_source_mix": op8_source_mix,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_license_scan": op10_license_scan,
