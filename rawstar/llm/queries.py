@@ -16,6 +16,7 @@ from rawstar.llm import (
     pii,
     quality,
     simhash,
+    spotsigs,
     suffix_dedup,
 )
 from rawstar.llm.base import table
@@ -56,6 +57,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.next_likeness(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     n_kept = F.octet_length("kept").cast("long")
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_chat_windows": op4_chat_windows,
     "op5_quality": op5_quality,
+    "op6_spotsigs": op6_spotsigs,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_source_mix": op8_source_mix,
     "op9_byte_bpe": op9_byte_bpe,
