@@ -48,3 +48,19 @@ def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 def salt_of(*cols: Column, salts: int, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(salts)).cast("int")
+
+
+def row_key(doc_id: Column, mark: Column) -> Column:
+    """One string that tells rows apart by id and a digest of the text; a null id is its own id."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("none")), mark.cast("string"))
+
+
+def keep_keys(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
+    """Rows of `docs` whose key is among `kept` (one column, `_key`), one row per key, all columns.
+
+    One shuffle of the rows: they are joined and made unique by the same key.
+    """
+    found = docs.withColumn("_row_key", key).join(
+        kept.select(F.col("_key").alias("_row_key")), "_row_key", "left_semi"
+    )
+    return found.dropDuplicates(["_row_key"]).select([F.col(f"`{c}`") for c in docs.columns])

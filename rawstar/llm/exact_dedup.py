@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rawstar.llm.base import salt_of, stage, text_rows
+from rawstar.llm.base import keep_keys, row_key, salt_of, stage, text_rows
 
 SALTS = 16
 Digest = Callable[[bytes], str]
@@ -93,11 +93,14 @@ def exact_dedup(
 
 
 def keep_exact(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The documents that stay, with all their columns; one row per surviving id."""
-    ids = exact_dedup(docs, salts=salts).filter("kept").select(F.col("doc_id").alias("_id"))
-    ids = ids.distinct()
-    return (
-        docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select(docs.columns)
-    )
+    """The documents that stay, with all their columns; of rows that repeat id and text, one."""
+
+    @F.pandas_udf("string")
+    def digest_of(texts: pd.Series) -> pd.Series:
+        low = texts.fillna("").map(lambda t: t.encode("utf-8", "surrogatepass").lower())
+        return low.map(sha256_hex)
+
+    kept = exact_dedup(docs, salts=salts).filter("kept")
+    kept = kept.select(row_key(F.col("doc_id"), F.col("digest")).alias("_key"))
+    key = row_key(F.col("doc_id").cast("long"), digest_of(F.col("text").cast("string")))
+    return keep_keys(docs, key, kept)

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rawstar.llm.base import WORD, stage
+from rawstar.llm.base import WORD, row_key, stage
 
 BLOCK = 20_000
 MAX_COPIES = 3
@@ -190,16 +190,18 @@ def mix(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, with all its columns.
 
-    Documents without words have nothing to take and are left as they are, once.
+    Rows that repeat id and text are taken as often as all of them together. Documents without
+    words have nothing to take and stay as they are, once.
     """
-    copies = mix(docs, **options).groupBy("doc_id", "row").agg(
-        F.max("copies").alias("_copies"), F.max("size").alias("_size")
+    found = mix(docs, **options)
+    times = F.when(F.max("size") == 0, F.lit(1)).otherwise(F.sum("copies")).cast("int")
+    copies = found.groupBy(row_key(F.col("doc_id"), F.col("row")).alias("_key")).agg(
+        times.alias("_times")
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("_row", F.xxhash64(text)).withColumn("_id", F.col("doc_id").cast("long"))
-    joined = keyed.join(
-        copies.select(F.col("doc_id").alias("_i"), F.col("row").alias("_r"), "_copies", "_size"),
-        F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_row") == F.col("_r")),
+    key = row_key(F.col("doc_id").cast("long"), F.xxhash64(text))
+    joined = docs.withColumn("_key", key).join(copies.filter("_times > 0"), "_key")
+    repeated = joined.dropDuplicates(["_key"]).withColumn(
+        "_n", F.explode(F.array_repeat(F.lit(1), F.col("_times")))
     )
-    times = F.when(F.col("_size") == 0, F.lit(1)).otherwise(F.col("_copies")).cast("int")
-    return joined.withColumn("_n", F.explode(F.array_repeat(F.lit(1), times))).select(docs.columns)
+    return repeated.select([F.col(f"`{c}`") for c in docs.columns])

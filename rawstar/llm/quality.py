@@ -222,6 +222,20 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED):
     return vectors, weight, Network(x, y)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> DataFrame:
+    """The documents that are predicted as 1, with all their columns."""
+    vectors, weight, network = fit(text_rows(docs), labels, limit)
+    if network is None:
+        return docs
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        x = [pool(slots(t), vectors, weight) for t in texts.fillna("")]
+        return pd.Series(network.score(np.array(x)) if x else np.zeros(0))
+
+    return docs.filter(score(F.col("text").cast("string")) >= THRESHOLD)
+
+
 def classify(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> DataFrame:
     """doc_id, held_out, score, predicted: one row per document."""
     rows = text_rows(docs)

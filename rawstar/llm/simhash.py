@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rawstar.llm.base import stage, text_rows
+from rawstar.llm.base import keep_keys, row_key, stage, text_rows
 from rawstar.llm.graph import components
 
 SHINGLE = 3
@@ -66,14 +66,16 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp: the fingerprint as a signed 64-bit number with the same bits."""
+    """doc_id, row (digest of the text), fp (the fingerprint's bits as a signed number)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fp": fp.view(np.int64)})
+            ids = b["doc_id"].astype("Int64")
+            yield pd.DataFrame({"doc_id": ids, "row": b["row"], "fp": fp.view(np.int64)})
 
-    return text_rows(docs).mapInPandas(run, "doc_id long, fp long")
+    rows = text_rows(docs).withColumn("row", F.xxhash64("text"))
+    return rows.mapInPandas(run, "doc_id long, row long, fp long")
 
 
 def _prefix(depth: int):
@@ -234,7 +236,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, leaf: int = LEAF) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp, component_id (least doc_id that can be reached), one row per document."""
+    """doc_id, row, fp, root (a fingerprint that names the component), component_id (least doc_id
+    that can be reached): one row per document."""
     prints = stage(fingerprints(docs, shingle), "simhash")
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = components(links(distinct.select("fp"), max_bits))
@@ -243,16 +246,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     )
     placed = stage(placed, "simhash-roots")
     names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = placed.join(names, "root").select("fp", "component_id")
-    return prints.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = placed.join(names, "root").select("fp", "root", "component_id")
+    return prints.join(by_fp, "fp").select("doc_id", "row", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The document with the least id of each component, with all its columns; one row per id."""
+    """The document with the least id of each component, with all its columns."""
     found = near_duplicates(docs, shingle, max_bits)
-    ids = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"))
-    return (
-        docs.join(ids.distinct(), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select(docs.columns)
-    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("one")
+    kept = found.groupBy("root").agg(first)
+    kept = kept.select(row_key(F.col("one.doc_id"), F.col("one.row")).alias("_key"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return keep_keys(docs, row_key(F.col("doc_id").cast("long"), F.xxhash64(text)), kept)
