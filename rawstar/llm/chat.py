@@ -109,7 +109,7 @@ def _windows(budget: int, history: int):
                 back += 1
                 if not keeps_system and 0 <= system[1] < place[back]:
                     keeps_system, used = True, used + system[2]
-            parts, loss, length = [], [], 0
+            parts, loss, length = ["<s>"], [], 3
             turns = [("system", system[0], False)] if keeps_system else []
             turns += [(role[i], text[i], i >= at) for i in range(back, to)]
             for r, t, is_new in turns:
@@ -120,10 +120,10 @@ def _windows(budget: int, history: int):
                 length += len(marked)
             total = used + before[to - 1] + tokens[to - 1] - before[at]
             repeated = len(turns) - (to - at)
-            out.append((place[at], "<s>" + "".join(parts), repeated, loss, total, total > budget))
+            out.append((place[at], "".join(parts), repeated, loss, total, total > budget))
             at = to
-        made = pd.DataFrame(out, columns=["first_turn", "text", "repeated", "loss", "tokens", "over_budget"])
-        made["loss"] = [[{"start": s["start"] + 3, "end": s["end"] + 3} for s in x] for x in made["loss"]]
+        names = ["first_turn", "text", "repeated", "loss", "tokens", "over_budget"]
+        made = pd.DataFrame(out, columns=names)
         conv = rows["conv_id"].iloc[0]
         made.insert(0, "conv_id", pd.array([None if pd.isna(conv) else int(conv)] * len(made), "Int64"))
         made.insert(1, "window", made["first_turn"])
