@@ -121,9 +121,9 @@ def _ranges(rows: DataFrame, parts: int) -> DataFrame:
     """Rows with `part` (ranges of ids, descending) and `guest`: the first document of the next
     range, which is only a successor here."""
     ids = rows.select("doc_id")
-    cuts = ids.filter("doc_id is not null").approxQuantile(
-        "doc_id", [i / parts for i in range(1, parts)], 0.1 / parts
-    )
+    shares = [i / parts for i in range(1, parts)]
+    known = ids.filter("doc_id is not null")
+    cuts = known.approxQuantile("doc_id", shares, 0.1 / parts) if shares else []
     cuts = sorted({int(c) for c in cuts}, reverse=True)  # `parts` numbers at most
     above = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<long>")
     part = F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(

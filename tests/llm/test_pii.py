@@ -83,5 +83,5 @@ def test_awkward(awkward, empty):
     got = pii.find_pii(awkward)
     assert got.count() == awkward.count()
     assert pii.digest_columns(pii.find_pii(empty)).collect() == []
-    row = pii.digest_columns(got).filter("doc_id = 16").collect()[0]
-    assert (row.n_email, row.n_phone) == (1, 1)
+    rows = pii.digest_columns(got).filter("n_email + n_phone > 0").collect()
+    assert [(r.doc_id, r.n_email, r.n_phone) for r in rows] == [(None, 1, 1)]
