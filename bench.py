@@ -15,9 +15,13 @@ import time
 
 from pyspark.sql import SparkSession
 
+from rawstar.plans import catalog_files  # noqa: F401  (registers its queries)
 from rawstar.plans.catalog import QUERIES
 
-FILE_QUERIES = {"raw_line_lineage", "incremental_ingest", "stream_ingest"}
+FILE_QUERIES = {
+    "raw_line_lineage", "incremental_ingest", "stream_ingest", "retry_ingest",
+    "pipeline_fact", "pipeline_gaps", "pipeline_control",
+}
 
 
 def main() -> None:

@@ -62,15 +62,27 @@ def without_cr(c: Column | str) -> Column:
 # --- casts ------------------------------------------------------------------------------------
 
 
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([T ].*)?$"
+
+
+def _shaped(c: Column | str, shape: str, kind: str, strict: bool) -> Column:
+    """A cast of text that looks like `kind`: the engine's own cast also takes '1d' or '2025'."""
+    text = F.trim(_col(c))
+    if not strict:
+        return F.when(text.rlike(shape), text.try_cast(kind))
+    bad = F.raise_error(F.concat(F.lit(f"not a {kind}: "), text)).cast(kind)
+    odd = ~text.rlike(shape) & text.try_cast(kind).isNotNull()
+    return F.when(odd, bad).otherwise(text.cast(kind))
+
+
 def to_double(c: Column | str, strict: bool = False) -> Column:
     """Float cast: NULL on bad text, or an error when `strict`."""
-    text = F.trim(_col(c))
-    return text.cast("double") if strict else text.try_cast("double")
+    return _shaped(c, NUMBER, "double", strict)
 
 
 def to_date(c: Column | str, strict: bool = False) -> Column:
-    text = F.trim(_col(c))
-    return text.cast("date") if strict else text.try_cast("date")
+    return _shaped(c, DATE, "date", strict)
 
 
 def amount_or_zero(c: Column | str, strict: bool = False) -> Column:
@@ -138,11 +150,17 @@ def decoded_path(c: Column | str) -> Column:
 
 
 def relative_name(path: Column | str, root: str) -> Column:
-    """File name relative to the landing root."""
-    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*(?=/)", "", root).rstrip("/") + "/"
+    """File name below a canonical root (see `raw_lines.landing_root`); NULL for a file outside.
+
+    Paths of local files come with one slash or three behind the scheme.
+    """
     full = _col(path)
-    at = F.instr(full, bare)
-    return F.when(at > 0, F.substring(full, at + len(bare), F.length(full))).otherwise(full)
+    scheme, _, rest = root.rstrip("/").partition("://")
+    out = F.lit(None).cast("string")
+    for prefix in {f"{scheme}://{rest}/", f"{scheme}:{rest}/"}:
+        cut = F.substring(full, F.lit(len(prefix) + 1), F.length(full))
+        out = F.when(full.startswith(prefix), cut).otherwise(out)
+    return out
 
 
 def normalised_name(c: Column | str) -> Column:

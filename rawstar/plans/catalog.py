@@ -468,7 +468,7 @@ SELECT 'TXN-' || o_orderkey AS transaction_id, 'ORD-' || o_orderkey AS order_id,
     ELSE CASE WHEN o_orderstatus = 'F' THEN '-' ELSE '' END
       || CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) END AS payment_amount,
   item.item_no
-FROM orders, (VALUES (0, 'SKU-', 'first & more', '25.99', 'USD'), (1, 'GIFT-', '', '0', 'EUR'))
+FROM orders, (VALUES (0, 'SKU-', 'first & more', '7.35', 'USD'), (1, 'GIFT-', '', '0', 'EUR'))
   AS item(item_no, sku, description, unit_price, currency)
 """
 
@@ -544,7 +544,7 @@ SELECT 'TXN-' || o_orderkey AS transaction_id,
     AS quantity,
   CAST(item.price_amount AS DOUBLE) AS price_amount, item.currency,
   o_orderpriority AS payment_method, round(o_totalprice, 2) AS payment_amount
-FROM orders, (VALUES ('SKU-', 'first', 25.99, 'USD'), ('GIFT-', NULL, NULL, NULL))
+FROM orders, (VALUES ('SKU-', 'first', 7.35, 'USD'), ('GIFT-', NULL, NULL, NULL))
   AS item(sku, description, price_amount, currency)
 WHERE o_orderstatus <> 'P'
 """
@@ -857,24 +857,24 @@ def gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(gold.fact_transactions(_line_transactions(spark, sf_dir)), "payment_amount")
 
 
-@query(_KNOWN_CUSTOMERS)
+@query(_ALL_CUSTOMERS)
 def gold_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.gold_customers(_known_customers(spark, sf_dir))
+    return gold.gold_customers(infer_missing_customers(spark, sf_dir))
 
 
-@query(_KNOWN_PRODUCTS)
+@query(_ALL_PRODUCTS)
 def gold_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.gold_products(_known_products(spark, sf_dir))
+    return gold.gold_products(infer_missing_products(spark, sf_dir))
 
 
-@query(f"SELECT order_id, order_date, order_status, channel FROM ({_KNOWN_ORDERS})")
+@query(f"SELECT order_id, order_date, order_status, channel FROM ({_ALL_ORDERS})")
 def gold_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.gold_orders(_known_orders(spark, sf_dir))
+    return gold.gold_orders(infer_missing_orders(spark, sf_dir))
 
 
-@query(f"SELECT payment_id, order_id, payment_method, currency, status FROM ({_KNOWN_PAYMENTS})")
+@query(f"SELECT payment_id, order_id, payment_method, currency, status FROM ({_ALL_PAYMENTS})")
 def gold_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.gold_payments(_known_payments(spark, sf_dir))
+    return gold.gold_payments(infer_missing_payments(spark, sf_dir))
 
 
 # --- batch control ----------------------------------------------------------------------------

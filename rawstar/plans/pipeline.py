@@ -16,7 +16,7 @@ from rawstar.sources.lake import Lake, Staging
 
 @dataclass(frozen=True)
 class PipelineOptions:
-    """`strict` stops on bad numbers, dates and XML instead of setting them aside.
+    """`strict` stops on bad numbers, dates, XML and JSON instead of setting them aside.
 
     `grain` is 'transaction' (one item per transaction) or 'line'. `unique_key` keeps one inferred
     customer per id. `keep_urls` spares '://' from comment removal. `append` adds to the snapshot
@@ -40,8 +40,8 @@ def _has_oversize(lake: Lake, kind: str, limit: int) -> bool:
 
 def build_transactions(
     lake: Lake, stage: Staging, options: PipelineOptions
-) -> tuple[DataFrame, DataFrame]:
-    """(unified transactions, unparsable documents) from all raw lines."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(unified transactions, their bad values, unparsable documents) from all raw lines."""
     limit = options.max_document_bytes
     xml, bad_xml = xml_elements(
         lake.raw_lines("xml"),
@@ -58,10 +58,14 @@ def build_transactions(
         oversize=_has_oversize(lake, "json", limit),
         stage=stage,
     )
+    if options.strict and (broken := bad_json.first()) is not None:
+        raise ValueError(f"{broken['file_name']}: JSON that does not parse")
     unified = silver.unified_transactions(
-        silver.xml_transactions(xml, options.strict, options.grain), silver.flatten_json(json)
+        silver.xml_transactions(xml, options.strict, options.grain),
+        silver.flatten_json(json, options.strict),
     )
-    return unified, bad_xml.unionByName(bad_json)
+    rejected = silver.xml_rejects(silver.flatten_xml(xml)).unionByName(silver.json_rejects(json))
+    return unified, rejected, bad_xml.unionByName(bad_json)
 
 
 def build_silver(lake: Lake, batch_id: str, options: PipelineOptions) -> None:
@@ -71,13 +75,21 @@ def build_silver(lake: Lake, batch_id: str, options: PipelineOptions) -> None:
     the list of rejects all read columns instead of parsing and ranking lines again.
     """
     stage = Staging(lake.spark, f"{lake.root}/stage/{batch_id}")
-    unified, bad = build_transactions(lake, stage, options)
+    try:
+        _build_silver(lake, batch_id, options, stage)
+    finally:
+        stage.release()
+
+
+def _build_silver(lake: Lake, batch_id: str, options: PipelineOptions, stage: Staging) -> None:
+    unified, bad_values, bad = build_transactions(lake, stage, options)
     lake.write(unified, "silver", "slv_transactions", batch_id, options.append)
 
     lines = lake.raw_lines("csv")
     latest = {name: stage(rank(lines)) for name, rank in silver.LATEST.items()}
     if options.quarantine:
         lake.write(bad, "silver", "unparsable_documents", batch_id, options.append)
+        lake.write(bad_values, "silver", "transaction_rejects", batch_id, options.append)
         rejected = silver.csv_rejects(latest)
         lake.write(rejected, "silver", "csv_rejects", batch_id, options.append)
 
@@ -97,7 +109,6 @@ def build_silver(lake: Lake, batch_id: str, options: PipelineOptions) -> None:
     }
     for table, df in complete.items():
         lake.write(df, "silver", table, batch_id, options.append)
-    stage.release()
 
 
 def build_gold(lake: Lake, batch_id: str, options: PipelineOptions) -> None:
@@ -143,7 +154,7 @@ def run_pipeline(
         build_gold(lake, batch_id, options)
         control.end(batch_id)
     except Exception as e:
-        control.fail(batch_id, f"{type(e).__name__}: {e}"[:4000])
+        control.fail(batch_id, f"{type(e).__name__}: {e}")
         raise
     lake.refresh()
     return batch_id

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_FILE = 150
 LINES_PER_ROW = 100
+TASKS = 8  # pieces that a table is rendered in, whatever it is stored in
 FILE_BYTES = ROWS_PER_FILE * LINES_PER_ROW * 60  # about the most a record file can hold
 
 
@@ -80,30 +81,30 @@ def csv_envelope(lines: DataFrame, header: str) -> DataFrame:
     return lines.unionByName(envelope)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core work where the table is stored in fewer pieces than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def record_lines(
-    df: DataFrame, prefix: str, suffix: str, head: list[str], body: list[Column]
+    df: DataFrame,
+    prefix: str,
+    suffix: str,
+    head: list[str],
+    body: list[Column],
+    rows_per_file: int = ROWS_PER_FILE,
+    tasks: int = TASKS,
 ) -> DataFrame:
     """Lines of record files: `body` lines per input row, after `head` once per file."""
     # The upper bits of the id are the task, the lower ones count the rows of the task from 0.
     placed = (
-        spread(df)
+        df.repartition(tasks)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_task", F.shiftright("_at", 33))
         .withColumn("_row", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
     )
-    opened = F.when(first_in_file(), F.array(*map(F.lit, head))).otherwise(
+    opened = F.when(first_in_file(rows_per_file), F.array(*map(F.lit, head))).otherwise(
         F.array().cast("array<string>")
     )
-    number = F.expr(f"_row div {ROWS_PER_FILE}")
+    number = F.expr(f"_row div {rows_per_file}")
     return placed.select(
         cat(prefix, txt("_task"), "_", txt(number), suffix).alias("file_name"),
-        ((F.col("_row") % ROWS_PER_FILE) * LINES_PER_ROW).alias("_base"),
+        ((F.col("_row") % rows_per_file) * LINES_PER_ROW).alias("_base"),
         F.posexplode(F.concat(opened, F.array(*body))).alias("_pos", "raw_content"),
     ).select(
         "file_name",
@@ -179,7 +180,7 @@ def xml_transaction(
 
 XML_HEAD = [
     "----- START OF FILE: transactions.xml -----",
-    '<SalesData client="A" generatedAt="2025-11-12T10:45:00Z">',
+    '<SalesData client="A" generatedAt="2024-03-09T08:15:30Z">',
     "</SalesData>",
     "----- END OF FILE -----",
 ]
@@ -197,7 +198,12 @@ def status(letter: str) -> Column:
     return F.col("o_orderstatus") == letter
 
 
-def order_xml(orders: DataFrame, copies: bool = False) -> DataFrame:
+def order_xml(
+    orders: DataFrame,
+    copies: bool = False,
+    rows_per_file: int = ROWS_PER_FILE,
+    tasks: int = TASKS,
+) -> DataFrame:
     """XML lines: one transaction of two items per order.
 
     Quantity is negative for status F and blank for P; the amount is blank for urgent orders,
@@ -221,7 +227,7 @@ def order_xml(orders: DataFrame, copies: bool = False) -> DataFrame:
             cat("Lee", txt("o_custkey")),
             cat("c", txt("o_custkey"), "@example.com"),
             [
-                (cat("SKU-", key), cat(note, " &amp; more"), quantity, F.lit("25.99"), "USD"),
+                (cat("SKU-", key), cat(note, " &amp; more"), quantity, F.lit("7.35"), "USD"),
                 (cat("GIFT-", key), F.lit(""), F.lit("1"), F.lit("0"), "EUR"),
             ],
             F.col("o_orderpriority"),
@@ -234,7 +240,9 @@ def order_xml(orders: DataFrame, copies: bool = False) -> DataFrame:
             txt(F.date_sub(F.col("o_orderdate").cast("date"), 7))
         )
         body = body + one(older, "copy")
-    return record_lines(orders, "client_a/transactions_", ".xml", XML_HEAD, body)
+    return record_lines(
+        orders, "client_a/transactions_", ".xml", XML_HEAD, body, rows_per_file, tasks
+    )
 
 
 # --- JSON -------------------------------------------------------------------------------------
@@ -254,7 +262,7 @@ def json_file(lines: DataFrame) -> DataFrame:
     """Close the document of every file."""
     made = F.array(
         *[
-            F.struct(F.lit(10**9 + i).cast("bigint").alias("n"), F.lit(line).alias("line"))
+            F.struct(F.lit(10**15 + i).cast("bigint").alias("n"), F.lit(line).alias("line"))
             for i, line in enumerate(JSON_TAIL)
         ]
     )
@@ -272,15 +280,17 @@ def json_file(lines: DataFrame) -> DataFrame:
     return lines.unionByName(tails)
 
 
-def first_in_file() -> Column:
-    return F.col("_row") % ROWS_PER_FILE == 0
+def first_in_file(rows_per_file: int = ROWS_PER_FILE) -> Column:
+    return F.col("_row") % rows_per_file == 0
 
 
-def comma() -> Column:
-    return F.when(first_in_file(), "").otherwise(",")
+def comma(rows_per_file: int = ROWS_PER_FILE) -> Column:
+    return F.when(first_in_file(rows_per_file), "").otherwise(",")
 
 
-def order_json(orders: DataFrame) -> DataFrame:
+def order_json(
+    orders: DataFrame, rows_per_file: int = ROWS_PER_FILE, tasks: int = TASKS
+) -> DataFrame:
     """JSON lines: one transaction per order.
 
     Two items, or none for status P. The order id is null for urgent orders, the date for high
@@ -288,7 +298,7 @@ def order_json(orders: DataFrame) -> DataFrame:
     """
     key = txt("o_orderkey")
     body = [
-        cat("    ", comma(), '{ "id": "TXN-', key, '",   // as sent'),
+        cat("    ", comma(rows_per_file), '{ "id": "TXN-', key, '",   // as sent'),
         cat(
             '      "order": { "id": ',
             F.when(is_urgent(), "null").otherwise(cat('"ORD-', key, '"')),
@@ -307,7 +317,7 @@ def order_json(orders: DataFrame) -> DataFrame:
             cat(
                 '        { "sku": "SKU-', key, '", "description": "first", "qty": ',
                 F.when(status("F"), "-3").otherwise("2"),
-                ', "price": { "amount": 25.99, "currency": "USD" } },',
+                ', "price": { "amount": 7.35, "currency": "USD" } },',
             )
         ),
         F.when(status("P"), "").otherwise(
@@ -319,7 +329,9 @@ def order_json(orders: DataFrame) -> DataFrame:
             money("o_totalprice"), "} };",
         ),
     ]
-    return json_file(record_lines(orders, "client_b/transactions_", ".json", JSON_HEAD, body))
+    prefix = "client_b/transactions_"
+    lines = record_lines(orders, prefix, ".json", JSON_HEAD, body, rows_per_file, tasks)
+    return json_file(lines)
 
 
 def event_json(events: DataFrame) -> DataFrame:

@@ -293,19 +293,33 @@ def xml_transactions(
     return kept.drop("record_no", "item_no").withColumnRenamed("file_name", "filename")
 
 
-def flatten_json(elements: DataFrame) -> DataFrame:
-    """One typed row per item of each transaction; an empty item list gives no row."""
+def _variant_text(v: str, path: str) -> Column:
+    return F.try_variant_get(v, path, "string")
+
+
+def _json_items(elements: DataFrame) -> DataFrame:
     from rawstar.operators.documents import variant_members
 
-    items = elements.select("t", F.explode(variant_members("t", "$.items")).alias("i"))
+    places = [c for c in ("file_name", "record_no") if c in elements.columns]
+    return elements.select(*places, "t", F.explode(variant_members("t", "$.items")).alias("i"))
+
+
+def flatten_json(elements: DataFrame, strict: bool = False) -> DataFrame:
+    """One typed row per item of each transaction; an empty item list gives no row.
+
+    Numbers and dates that do not parse are NULL, or stop the query when `strict`.
+    """
+    items = _json_items(elements)
 
     def get(v: str, path: str, kind: str = "string") -> Column:
+        if kind == "double":  # by its text: the engine's cast also takes "1d"
+            return text.to_double(_variant_text(v, path), strict)
         return F.try_variant_get(v, path, kind)
 
     return items.select(
         get("t", "$.id").alias("transaction_id"),
         get("t", "$.order.id").alias("order_id"),
-        text.to_date(get("t", "$.order.date")).alias("order_date"),
+        text.to_date(get("t", "$.order.date"), strict).alias("order_date"),
         get("t", "$.order.customer.id").alias("customer_id"),
         text.clean(get("t", "$.order.customer.name")).alias("customer_name"),
         get("t", "$.order.customer.email").alias("customer_email"),
@@ -319,6 +333,48 @@ def flatten_json(elements: DataFrame) -> DataFrame:
     )
 
 
+def _bad_values(
+    rows: DataFrame, source: str, key: Column, fields: list[tuple[str, Column, Column]]
+) -> DataFrame:
+    """One row per field whose text is there but has no value: (name, text, value)."""
+    reasons = [
+        F.when(
+            (F.trim(raw) != "") & value.isNull(),
+            F.struct(F.lit(f"bad {name}").alias("reason"), raw.alias("detail")),
+        )
+        for name, raw, value in fields
+    ]
+    return rows.select(
+        F.lit(source).alias("source"),
+        "file_name",
+        "record_no",
+        key.alias("key"),
+        F.inline(F.array_compact(F.array(*reasons))),
+    ).distinct()  # fields of the transaction come once per item
+
+
+def xml_rejects(flat: DataFrame) -> DataFrame:
+    """Dates and numbers of flattened XML items that do not parse."""
+    fields = [("order_date", F.col("order_date"), text.to_date(text.clean("order_date")))]
+    for name in ("quantity", "unit_price", "payment_amount"):
+        fields.append((name, F.col(name), text.to_double(name)))
+    return _bad_values(flat, "xml", text.clean("transaction_id"), fields)
+
+
+def json_rejects(elements: DataFrame) -> DataFrame:
+    """Dates and numbers of JSON transactions that do not parse."""
+    date = _variant_text("t", "$.order.date")
+    fields = [("order_date", date, text.to_date(date))]
+    for name, v, path in (
+        ("quantity", "i", "$.qty"),
+        ("price_amount", "i", "$.price.amount"),
+        ("payment_amount", "t", "$.payment.total"),
+    ):
+        raw = _variant_text(v, path)
+        fields.append((name, raw, text.to_double(raw)))
+    return _bad_values(_json_items(elements), "json", _variant_text("t", "$.id"), fields)
+
+
 def unified_transactions(xml: DataFrame, json: DataFrame) -> DataFrame:
     """Both streams in one relation; missing keys and names become UNKNOWN."""
     names = schemas.columns(schemas.TRANSACTION_DDL)

@@ -76,6 +76,16 @@ SILVER_TABLES = {
     "slv_transactions": TRANSACTION_DDL,
 }
 
+# What a batch has set aside; written where quarantine is on.
+REJECT_TABLES = {
+    "csv_rejects": "source string, key string, reason string, detail string",
+    "transaction_rejects": (
+        "source string, file_name string, record_no bigint, key string, reason string, "
+        "detail string"
+    ),
+    "unparsable_documents": "file_name string, record_no bigint, content string",
+}
+
 GOLD_TABLES = {
     "dim_customers": CUSTOMER_DDL,
     "dim_order": "order_id string, order_date date, order_status string, channel string",

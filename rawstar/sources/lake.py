@@ -36,7 +36,8 @@ class Lake:
         out.update(
             {("bronze", f"{t}_splits"): schemas.SPLIT_DDL for t in schemas.RAW_TABLES.values()}
         )
-        out.update({("silver", t): ddl for t, ddl in schemas.SILVER_TABLES.items()})
+        silver = schemas.SILVER_TABLES | schemas.REJECT_TABLES
+        out.update({("silver", t): ddl for t, ddl in silver.items()})
         out.update({("gold", t): ddl for t, ddl in schemas.GOLD_TABLES.items()})
         return out
 
@@ -103,7 +104,8 @@ class Lake:
             return self.spark.createDataFrame([], f"{ddl}, batch_id string")
 
     def silver(self, table: str, batch_id: str) -> DataFrame:
-        return self.read("silver", table, schemas.SILVER_TABLES[table], batch_id)
+        ddl = (schemas.SILVER_TABLES | schemas.REJECT_TABLES)[table]
+        return self.read("silver", table, ddl, batch_id)
 
     def gold(self, table: str, batch_id: str) -> DataFrame:
         return self.read("gold", table, schemas.GOLD_TABLES[table], batch_id)
@@ -143,9 +145,13 @@ class Lake:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder the session names for checkpoints.
 
-    Where the session names none (local tests), the default is local.
+    Only a session whose driver and executors are one process may leave it unset.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/rawstar-scratch"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "/tmp/checkpoints"
     return f"{base.rstrip('/')}/rawstar-{name}-{uuid.uuid4().hex}"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rawstar import schemas
 from rawstar.functions import text
 from rawstar.sources.lake import Lake
-from rawstar.sources.raw_lines import landing_path, raw_columns
+from rawstar.sources.raw_lines import landing_path, landing_root, raw_columns
 
 
 def ingest_available(
@@ -23,12 +23,13 @@ def ingest_available(
     Each micro-batch becomes a Bronze batch named after its epoch. It overwrites only its own
     partition, so an epoch that is run again after a failure leaves the same lines.
     """
+    root = landing_root(lake.spark, landing)
     reader = lake.spark.readStream.option("recursiveFileLookup", True)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = (
-        reader.text(landing, lineSep="\n")
-        .filter(text.relative_name(landing_path(), landing).rlike(schemas.FILE_PATTERNS[kind]))
+        reader.text(root, lineSep="\n")
+        .filter(text.relative_name(landing_path(), root).rlike(schemas.FILE_PATTERNS[kind]))
         .select(
             "value",
             landing_path().alias("path"),
@@ -38,7 +39,7 @@ def ingest_available(
 
     def store(batch: DataFrame, epoch: int) -> None:
         batch_id = f"{prefix}_{epoch:012d}"
-        lake.write_raw(raw_columns(batch, landing, right_trim=kind == "csv"), kind, batch_id)
+        lake.write_raw(raw_columns(batch, root, right_trim=kind == "csv"), kind, batch_id)
 
     stream = (
         lines.writeStream.foreachBatch(store)

@@ -67,6 +67,7 @@ if __name__ == "__main__":
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .getOrCreate()
     )

@@ -17,7 +17,7 @@ CUSTOMERS_A = envelope(
     [
         "CUST-1,Ada,Stone,ada@example.com,GOLD,Web,true",
         "CUST-2,,Noname,,BRONZE,Web,false",
-        "CUST-3,Bo,Reed,bo@@example..com,,Referral,true <-- invalid email",
+        "CUST-3,Bo,Reed,bo@@mail..test,,Referral,true <-- invalid email",
         "CUST-1,Ada,Stone,ada@example.com,SILVER,Web,true   <-- duplicate",
         "CUST-9,,,,,false                 <-- null-heavy row",
     ],
@@ -127,7 +127,7 @@ XML_1 = (
     )
     + xml_transaction(
         "T-1", "ORD-1", "2025-01-01", "CUST-1", "Ada", "Stone", "", [("SKU-1", "Mouse", "2", "1")],
-        "Card", "60", last_tag="LastLastName",
+        "Card", "60", last_tag="SurName",
     )
     + xml_transaction("", "ORD-5", "", "CUST-2", "", "Noname", "", [("", "Broken", "", "0")], "", "")
     + "</SalesData>\n"

@@ -43,7 +43,7 @@ def test_customers(built):
     assert got == {
         ("CUST-1", "Stone Ada", "ada@example.com", u, "SILVER", "true"),
         ("CUST-2", u, u, u, "BRONZE", "false"),
-        ("CUST-3", "Reed Bo", "bo@@example..com", u, u, "true"),
+        ("CUST-3", "Reed Bo", "bo@@mail..test", u, u, "true"),
         ("C-CUST-1", "Cal Fox", "cal@example.com", "VIP", u, "true"),
         ("C-CUST-2", "Dee Ray", u, "RETAIL", u, "true"),
         ("C-CUST-3", u, u, u, u, "false"),
