@@ -138,7 +138,8 @@ def run_pipeline(
 ) -> str:
     """Load what is new in `landing` and rebuild Silver and Gold; returns the batch id.
 
-    A batch without rows stops with EmptyBatchError. Any failure is recorded as FAILED and leaves
+    A batch without rows stops with EmptyBatchError, unless an earlier batch failed after it had
+    loaded rows; then Silver and Gold are built from those. Any failure is recorded as FAILED and leaves
     the snapshots of earlier batches untouched.
     """
     options = options or PipelineOptions()

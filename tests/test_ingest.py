@@ -80,6 +80,36 @@ def test_retried_batch_leaves_the_same_lines(spark, tmp_path):
     assert numbered(lake) == first
 
 
+def test_a_retry_loses_nothing(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.csv").write_text("1\n2")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest(lake, str(source), "B1")
+    (source / "b.csv").write_text("3")
+    ingest(lake, str(source), "B1")
+    ingest(lake, str(source), "B2")
+    assert numbered(lake) == [("a.csv", 1, "1"), ("a.csv", 2, "2"), ("b.csv", 1, "3")]
+    (source / "a.csv").unlink()
+    with pytest.raises(FileNotFoundError, match="a.csv"):
+        ingest(lake, str(source), "B1")
+    assert len(numbered(lake)) == 3
+
+
+def test_spellings_of_the_root(spark, tmp_path, monkeypatch):
+    source = tmp_path / "x" / "in" / "in"
+    source.mkdir(parents=True)
+    (source / "customer.csv").write_text("1")
+    monkeypatch.chdir(tmp_path)
+    base = f"{tmp_path}/x/in/in"
+    spellings = [base, base + "/", base.replace("/in/", "/./in/"), base.replace("/x/", "//x/")]
+    spellings += [f"{tmp_path}/x/../x/in/in", "file://" + base, "file:" + base]
+    for i, root in enumerate(spellings):
+        lake = Lake(spark, str(tmp_path / f"lake{i}"))
+        ingest(lake, root, "B1")
+        assert numbered(lake) == [("customer.csv", 1, "1")], root
+
+
 def test_stream_sees_each_file_once(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()

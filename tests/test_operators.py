@@ -162,3 +162,15 @@ def test_a_hot_key_gives_whole_results(spark, hot):
     assert dedup.keep_latest(df, ["k"], [F.col("id").desc()]).count() == 20_001
     known = spark.createDataFrame([("k1", 1)], "k string, id bigint")
     assert members.insert_missing(known, df, "k").count() == 30_000
+
+
+def test_casts_look_at_the_shape(spark):
+    odd = ["1d", "NaN", "Infinity", "1,5", "", " 2.50 ", "-3", ".5", "1e3", "2025", "2025-01", "2025-1-2"]
+    df = spark.createDataFrame([(t,) for t in odd], "t string")
+    numbers = [r[0] for r in df.select(text.to_double("t")).collect()]
+    assert numbers == [None] * 5 + [2.5, -3.0, 0.5, 1000.0, 2025.0, None, None]
+    days = [r[0] for r in df.select(text.to_date("t").cast("string")).collect()]
+    assert days == [None] * 11 + ["2025-01-02"]
+    for bad, cast in (("1d", text.to_double), ("x", text.to_double), ("2025", text.to_date)):
+        with pytest.raises(Exception, match="not a|CAST_INVALID_INPUT"):
+            spark.createDataFrame([(bad,)], "t string").select(cast("t", strict=True)).collect()

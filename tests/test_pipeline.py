@@ -164,6 +164,21 @@ def test_same_facts_when_every_file_is_cut(built, spark, tmp_path):
     assert rows(Lake(spark, str(tmp_path / "lake")).gold("fact_transactions", batch), "*") == FACTS
 
 
+def test_a_run_after_a_failure_builds_what_is_loaded(built, spark, tmp_path, monkeypatch):
+    from rawstar.plans import pipeline
+
+    _, _, root = built
+    lake = Lake(spark, str(tmp_path / "lake"))
+    landing = f"{root}/./landing/"  # another spelling of the root
+    with monkeypatch.context() as m:
+        m.setattr(pipeline, "build_silver", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_pipeline(spark, landing, lake.root, batch_id="BATCH_X")
+    batch = run_pipeline(spark, landing, lake.root, batch_id="BATCH_Y")
+    assert rows(lake.gold("fact_transactions", batch), "*") == FACTS
+    assert lake.silver("transaction_rejects", batch).columns[:2] == ["source", "file_name"]
+
+
 def test_second_batch(built, spark):
     lake, first, root = built
     landing = str(root / "landing")
@@ -195,7 +210,7 @@ def test_options(built, spark, tmp_path):
     from rawstar.sources.lake import Staging
 
     lake, _, _ = built
-    line, _ = build_transactions(lake, Staging(spark), PipelineOptions(grain="line"))
+    line, _, _ = build_transactions(lake, Staging(spark), PipelineOptions(grain="line"))
     got = sorted((r["transaction_id"], r["sku"]) for r in line.collect() if r["sku"][0] != "C")
     assert got == [
         ("T-1", "SKU-1"), ("T-1", "SKU-2"), ("T-2", "SKU-4"), ("T-3", "SKU-5"), ("T-4", "SKU-5"),
