@@ -152,12 +152,14 @@ def decoded_path(c: Column | str) -> Column:
 def relative_name(path: Column | str, root: str) -> Column:
     """File name below a canonical root (see `raw_lines.landing_root`); NULL for a file outside.
 
-    Paths of local files come with one slash or three behind the scheme.
+    Paths of local files come with one slash or three behind the scheme; a root without a scheme is
+    a local one.
     """
     full = _col(path)
-    scheme, _, rest = root.rstrip("/").partition("://")
+    bare = root.rstrip("/")
+    scheme, _, rest = bare.partition("://") if "://" in bare else ("file", "", bare)
     out = F.lit(None).cast("string")
-    for prefix in {f"{scheme}://{rest}/", f"{scheme}:{rest}/"}:
+    for prefix in (f"{scheme}://{rest}/", f"{scheme}:{rest}/"):
         cut = F.substring(full, F.lit(len(prefix) + 1), F.length(full))
         out = F.when(full.startswith(prefix), cut).otherwise(out)
     return out
