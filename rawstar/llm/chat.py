@@ -84,15 +84,18 @@ WINDOW_DDL = (
 )
 
 
+_ROW = ("conv_id", "segment", "role", "text", "tokens", "place", "before", "new")
+_ROW += ("sys_text", "sys_place", "sys_tokens")
+
+
 def _windows(budget: int, history: int):
-    """Cuts one segment; rows before its start are history only."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("place", kind="stable")
-        role, text = rows["role"].tolist(), rows["text"].tolist()
-        place, new = rows["place"].tolist(), rows["new"].tolist()
-        before, tokens = rows["before"].tolist(), rows["tokens"].tolist()
-        system = (rows["sys_text"].iloc[0], int(rows["sys_place"].iloc[0]), int(rows["sys_tokens"].iloc[0]))
+    """Cuts segments, whose rows come one after the other; one segment is held at a time."""
+    names = [c.split()[0] for c in WINDOW_DDL.replace("start:int,end:int", "").split(", ")]
+
+    def cut(rows: list[tuple]) -> list[tuple]:
+        """The windows of one segment; rows before its start are history only."""
+        conv, _, role, text, tokens, place, before, new, *system = zip(*rows)
+        system = [s[0] for s in system]
         n, out = len(role), []
         at = next((i for i in range(n) if new[i]), n)
         while at < n:
@@ -120,14 +123,26 @@ def _windows(budget: int, history: int):
                 length += len(marked)
             total = used + before[to - 1] + tokens[to - 1] - before[at]
             repeated = len(turns) - (to - at)
-            out.append((place[at], "".join(parts), repeated, loss, total, total > budget))
+            first = place[at]
+            out.append(
+                (conv[0], first, first, "".join(parts), repeated, loss, total, total > budget)
+            )
             at = to
-        names = ["first_turn", "text", "repeated", "loss", "tokens", "over_budget"]
-        made = pd.DataFrame(out, columns=names)
-        conv = rows["conv_id"].iloc[0]
-        made.insert(0, "conv_id", pd.array([None if pd.isna(conv) else int(conv)] * len(made), "Int64"))
-        made.insert(1, "window", made["first_turn"])
-        return made
+        return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
+        for b in batches:
+            done = []
+            ids = [None if pd.isna(c) else int(c) for c in b["conv_id"].astype("Int64")]
+            for row in zip(ids, *(b[c].tolist() for c in _ROW[1:])):
+                if held and held[0][:2] != row[:2]:
+                    done += cut(held)
+                    held = []
+                held.append(row)
+            yield pd.DataFrame(done, columns=names).astype({"conv_id": "Int64"})
+        if held:
+            yield pd.DataFrame(cut(held), columns=names).astype({"conv_id": "Int64"})
 
     return run
 
@@ -213,7 +228,11 @@ def format_conversations(
             F.coalesce("s.tokens", F.lit(0)).alias("sys_tokens"),
         )
     )
-    return dealt.groupBy("conv_id", "segment").applyInPandas(_windows(budget, history), WINDOW_DDL)
+    # segments lie whole in a task, many small ones side by side
+    dealt = dealt.repartition("conv_id", "segment").sortWithinPartitions(
+        "conv_id", "segment", "place"
+    )
+    return dealt.select(*_ROW).mapInPandas(_windows(budget, history), WINDOW_DDL)
 
 
 def read_back(windows: DataFrame) -> DataFrame:
