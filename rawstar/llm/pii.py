@@ -45,7 +45,7 @@ MIN_TOKEN = 6
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
-CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Keys that announce a secret.
@@ -82,7 +82,8 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
             free = m.end()
         at = text.find("@", at + 1)
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") or "0" for p in m[0].split(".")]
+        if all(len(p) < 4 and int(p) <= 255 for p in parts):
             out.append((m.start(), m.end(), "ip"))
     for m in CARD.finditer(text):
         digits = m[0].translate(_DIGITS)
@@ -134,6 +135,7 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
     for start, end, kind in base:
         taken.append((start, end))
         out += [(start, end, kind, p, True) for p in _patterns(text, start, end) if p[0] != "S"]
+    at = reach = 0  # tokens pass in order: the base spans before them, and how far those reach
     for start, end in _marked_words(text):
         start = max(start, text.rfind("=", start, end) + 1, text.rfind(":", start, end) + 1)
         while start < end and text[start] in _EDGE:
@@ -143,7 +145,10 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
         token = text[start:end]
         if len(token) < MIN_TOKEN or not any(c.isdigit() or c == "@" for c in token):
             continue
-        if any(a < end and start < b for a, b in taken):
+        while at < len(taken) and taken[at][0] < end:
+            reach = max(reach, taken[at][1])
+            at += 1
+        if start < reach:
             continue
         for p in _patterns(text, start, end):
             out.append((start, end, "id", p, p[0] == "K" and p[2:] in SEED_KEYS))

@@ -85,3 +85,10 @@ def test_awkward(awkward, empty):
     assert pii.digest_columns(pii.find_pii(empty)).collect() == []
     rows = pii.digest_columns(got).filter("n_email + n_phone > 0").collect()
     assert [(r.doc_id, r.n_email, r.n_phone) for r in rows] == [(None, 1, 1)]
+
+
+def test_long_zeros_and_overlaps():
+    assert pii.base_spans("0" * 5000 + ".1.1.1") == [(0, 5006, "ip")]
+    text = "key=AB1234xyz 10.0.0.1 " * 3
+    base = pii.base_spans(text)
+    assert [t[:2] for t in pii.candidates(text, base) if t[2] == "id"] == [(4, 13), (27, 36), (50, 59)]
