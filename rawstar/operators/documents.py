@@ -1,10 +1,15 @@
-"""Rebuild XML and JSON documents from raw lines, and parse them.
+"""Cut raw lines of XML and JSON files into records, and parse them.
 
-A file up to `max_bytes` is put together again as one document. A larger one is never gathered: its
-lines are folded into bounded chunks and cut into records (one XML transaction, one element of the
-JSON transaction array) there. Both ways give the same transactions.
+Every file, whatever its size, takes the same road: its lines are folded into chunks of bounded size
+and cut into records there (one XML transaction, one element of the JSON transaction array). No
+document has to fit a task. What is not a sound record is set aside with its text: a record that does
+not parse, the pieces of one that is never closed, unbalanced markup between records, brackets that a
+file leaves open. `on_bad` says whether such a row spoils its record ("record") or its whole file
+("document").
 
-Lines carry file_name, file_row_number, file_bytes and a text column.
+`rebuild_xml` and `rebuild_json` give each file as one text instead, for those who want that.
+
+Lines carry file_name, file_row_number and a text column.
 """
 
 from __future__ import annotations
@@ -19,29 +24,20 @@ from pyspark.sql.window import WindowSpec
 from rawstar.functions import text
 from rawstar.operators.dedup import keep_latest
 from rawstar.schemas import XML_TRANSACTION_DDL
+from rawstar.sources.lake import Staging
 
-MAX_DOCUMENT_BYTES = 1024 * 1024
 CHUNK_ROWS = 10_000
 BLOCK_ROWS = 250
 XML_DOCUMENT_DDL = f"Transaction array<struct<{XML_TRANSACTION_DDL}>>, _corrupt string"
 XML_RECORD_DDL = f"{XML_TRANSACTION_DDL}, _corrupt string"
+#: An opening tag that is not closed at once.
+_OPENING = r"<[^!?/>][^>]*+(?<!/)>"
 XML_TOP_FIELDS = ("TransactionID", "Order", "Items", "Payment")
 
+#: Writes a relation once and reads it back, where several steps read it.
 Stage = Callable[[DataFrame], DataFrame]
 
 
-def _as_is(df: DataFrame) -> DataFrame:
-    return df
-
-
-def with_file_bytes(lines: DataFrame, content: str) -> DataFrame:
-    """Add file_bytes where ingest has not recorded it."""
-    sizes = lines.groupBy("file_name").agg(
-        F.sum(F.coalesce(F.octet_length(content), F.lit(0)) + 1).alias("file_bytes")
-    )
-    return lines.join(sizes, "file_name")
-
-
 def _listagg(content: str, order: list[str], separator: str) -> Column:
     quoted = separator.replace("\\", "\\\\").replace("\n", "\\n").replace("'", "\\'")
     return F.expr(f"listagg({content}, '{quoted}') WITHIN GROUP (ORDER BY {', '.join(order)})")
@@ -73,9 +69,9 @@ def concat_lines(lines: DataFrame, keys: list[str], content: str, separator: str
     return ordered_concat(blocks, keys, content, ["_block"], separator)
 
 
-# --- long files -------------------------------------------------------------------------------
+# --- chunks -----------------------------------------------------------------------------------
 #
-# The lines of a long file are folded into chunks of consecutive lines, each one row of bounded size.
+# The lines of a file are folded into chunks of consecutive lines, each one row of bounded size.
 # What a chunk needs to know about the chunks before it (inside a comment? how deep? how many
 # records so far?) comes from one small summary row per chunk. Records that lie inside one chunk
 # are done there; only the parts of a record that runs over a chunk border are put together.
@@ -134,12 +130,15 @@ def strip_chunk_comments(
     )
 
 
-def join_pieces(pieces: DataFrame, content: str) -> DataFrame:
-    """(file_name, record_no, content) of every closed record.
+def join_pieces(pieces: DataFrame, content: str, stage: Stage) -> DataFrame:
+    """(file_name, record_no, closed, content) of every record.
 
     `pieces` has, per chunk, piece 0 (what comes before the first record start, perhaps the end of
     an earlier record) and pieces 1.. that each start a record; `closes` tells that the record ends
-    in the piece. A record that is never closed is left out.
+    in the piece, `net` how many more braces it opens than it closes. A closed record is one row. Of
+    a record that is never closed, or whose braces do not match, each piece is a row of its own, so
+    that no row outgrows a chunk. `rest`, where pieces have it, is what follows the record in its
+    piece; unbalanced markup there, or before a record, comes out as rows without a number.
     """
     starts = F.col("piece") > 0
     last = F.max(F.struct("piece", "closes"))
@@ -154,23 +153,43 @@ def join_pieces(pieces: DataFrame, content: str) -> DataFrame:
         F.coalesce(F.sum("_starts").over(_before()), F.lit(0)).alias("_done"),
         F.coalesce(F.max(mark).over(_before())["open"], F.lit(False)).alias("_inside"),
     )
-    placed = (
-        pieces.join(carried, ["file_name", "chunk"])
-        .filter(starts | F.col("_inside"))
-        .select(
-            "file_name",
-            (F.col("_done") + F.col("piece")).cast("bigint").alias("record_no"),
-            "chunk",
-            (starts & F.col("closes")).alias("_whole"),
-            "closes",
-            content,
-        )
+    placed = pieces.join(carried, ["file_name", "chunk"]).withColumn(
+        "record_no", (F.col("_done") + F.col("piece")).cast("bigint")
     )
+    inside = starts | F.col("_inside")
     keys = ["file_name", "record_no"]
-    parts = placed.filter("NOT _whole")
-    closed = parts.filter("closes").select(*keys).distinct()
-    joined = ordered_concat(parts.join(closed, keys, "left_semi"), keys, content, ["chunk"])
-    return placed.filter("_whole").select(*keys, content).unionByName(joined)
+    ours = placed.filter(inside).withColumn("_whole", starts & F.col("closes"))
+    # few rows: only what crosses a chunk border
+    parts = stage(ours.filter("NOT _whole").select(*keys, "chunk", "closes", "net", content))
+    sound = (
+        parts.groupBy(*keys)
+        .agg(F.max("closes").alias("_closed"), F.sum("net").alias("_net"))
+        .filter("_closed AND _net = 0")
+        .select(*keys)
+    )
+    joined = ordered_concat(parts.join(sound, keys, "left_semi"), keys, content, ["chunk"])
+    broken = parts.join(sound, keys, "left_anti").filter(F.col(content).isNotNull())
+    yes, no = F.lit(True).alias("closed"), F.lit(False).alias("closed")
+    out = (
+        ours.filter("_whole")
+        .select(*keys, yes, content)
+        .unionByName(joined.select(*keys, yes, content))
+        .unionByName(broken.select(*keys, no, content))
+    )
+    if "rest" not in pieces.columns:
+        return out
+    between = placed.select(
+        *keys,
+        F.when(inside, F.col("rest"))
+        .otherwise(F.concat(F.col(content), F.coalesce("rest", F.lit(""))))
+        .alias(content),
+    ).filter(F.col(content).contains("<"))
+    between = stage(between)
+    net = F.regexp_count(content, F.lit(_OPENING)) - F.regexp_count(content, F.lit("</"))
+    faulty = between.groupBy(*keys).agg(F.sum(net).alias("_net")).filter("_net <> 0").select(*keys)
+    stray = between.join(faulty, keys, "left_semi")
+    none = F.lit(None).cast("bigint").alias("record_no")
+    return out.unionByName(stray.select("file_name", none, no, content))
 
 
 # --- XML --------------------------------------------------------------------------------------
@@ -187,25 +206,46 @@ def rebuild_xml(lines: DataFrame, content: str = "raw_content", root: str = "Sal
     )
 
 
+def carry_tails(chunks: DataFrame, content: str) -> DataFrame:
+    """Move a tag or comment mark that a chunk leaves unfinished to the start of the next chunk.
+
+    A single tag is taken to be shorter than a chunk.
+    """
+    tail = F.regexp_extract(content, r"(?:<[^<>]*+|-{1,2})$", 0)
+    along = Window.partitionBy("file_name").orderBy("chunk")
+    moved = chunks.select("file_name", "chunk", tail.alias("_tail")).select(
+        "file_name",
+        "chunk",
+        F.coalesce(F.lag("_tail").over(along), F.lit("")).alias("_head"),
+        F.when(F.lead("chunk").over(along).isNotNull(), F.length("_tail")).otherwise(0).alias("_cut"),
+    )
+    own = F.substr(content, F.lit(1), F.length(content) - F.col("_cut"))
+    return chunks.join(moved, ["file_name", "chunk"]).select(
+        "file_name", "chunk", F.concat("_head", own).alias(content)
+    )
+
+
 def cut_xml_records(
     lines: DataFrame,
     content: str = "raw_content",
     root: str = "SalesData",
     tag: str = "Transaction",
     chunk_rows: int = CHUNK_ROWS,
-    stage: Stage = _as_is,
+    stage: Stage | None = None,
 ) -> DataFrame:
-    """(file_name, record_no, content): one row per closed `<tag>` element outside comments.
+    """(file_name, record_no, closed, content): the `<tag>` elements outside comments.
 
-    `record_no` counts opening tags, so it is the position of the element in its file. What lies
+    `record_no` counts opening tags, so it is the position of the element in its file. Sound markup
     between elements is dropped.
     """
+    stage = stage or Staging(lines.sparkSession)
     cleaned = lines.withColumn(content, text.strip_dashed(content))
-    plain = strip_chunk_comments(
-        chunk_documents(cleaned, content, "", chunk_rows), content, "<!--", "-->"
-    )
+    folded = carry_tails(chunk_documents(cleaned, content, "", chunk_rows), content)
+    plain = strip_chunk_comments(folded, content, "<!--", "-->")
     start, end = rf"<{tag}(?:[\s>/]|$)", f"</{tag}>"
-    plain = plain.withColumn(content, F.regexp_replace(content, rf"</{tag}\s+>", end))
+    plain = plain.withColumn(content, F.regexp_replace(content, rf"</{tag}\s+>", end)).withColumn(
+        content, text.strip_root(content, root)
+    )
     cut = plain.select(
         "file_name",
         "chunk",
@@ -218,12 +258,13 @@ def cut_xml_records(
         "chunk",
         (F.col("_pos") + F.col("_lead")).alias("piece"),
         closes.alias("closes"),
+        F.lit(0).alias("net"),
         F.when(closes, F.concat(F.substring_index(content, end, 1), F.lit(end)))
         .otherwise(F.col(content))
         .alias(content),
+        F.when(closes, F.substr(content, F.instr(content, end) + len(end))).alias("rest"),
     )
-    records = join_pieces(stage(pieces), content)
-    return records.withColumn(content, text.strip_root(content, root))
+    return join_pieces(stage(pieces), content, stage)
 
 
 def _xml_options(strict: bool) -> dict[str, str]:
@@ -241,54 +282,58 @@ def parse_xml_documents(
     )
 
 
+def xml_document_elements(
+    lines: DataFrame, content: str = "raw_content", strict: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """As `xml_elements`, from whole documents; for files that a task can hold."""
+    docs = parse_xml_documents(rebuild_xml(lines, content), content, strict)
+    parsed = docs.select(
+        "file_name",
+        F.col("doc._corrupt").alias("bad"),
+        F.posexplode_outer("doc.Transaction").alias("_pos", "t"),
+    ).select("file_name", (F.col("_pos") + 1).cast("bigint").alias("record_no"), "t", "bad")
+    return _good_and_bad(parsed)
+
+
 def xml_elements(
     lines: DataFrame,
     content: str = "raw_content",
-    max_bytes: int = MAX_DOCUMENT_BYTES,
     strict: bool = False,
     chunk_rows: int = CHUNK_ROWS,
-    oversize: bool = True,
-    stage: Stage = _as_is,
+    on_bad: str = "record",
+    stage: Stage | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(elements, unparsable).
+    """(elements, set aside).
 
-    elements: file_name, record_no, t (the transaction). unparsable: file_name, record_no, content;
-    record_no is NULL where a whole document does not parse. Pass `oversize=False` when no file is
-    above `max_bytes`, to leave that branch out of the plan. With a `stage`, both results come from
-    one parse.
+    elements: file_name, record_no, t (the transaction). Set aside: file_name, record_no, content;
+    record_no is NULL for what is not part of a record. With a `stage`, both results come from one
+    parse; without, what several steps read is written to the shared folder all the same.
     """
-    docs = parse_xml_documents(
-        rebuild_xml(lines.filter(F.col("file_bytes") <= max_bytes), content), content, strict
+    whole = F.when(F.col("closed"), F.col(content))
+    records = cut_xml_records(lines, content, chunk_rows=chunk_rows, stage=stage).withColumn(
+        "rec", F.from_xml(whole, XML_RECORD_DDL, _xml_options(strict))
     )
-    parsed = docs.select(
+    fields = [F.col(f"rec.{f}").alias(f) for f in XML_TOP_FIELDS]
+    sound = F.col("closed") & F.col("rec._corrupt").isNull()
+    parsed = records.select(
         "file_name",
-        F.col("doc._corrupt").alias("bad"),
-        F.posexplode_outer("doc.Transaction").alias("_pos", "t"),
-    ).select("file_name", (F.col("_pos") + 1).cast("bigint").alias("record_no"), "t", "bad")
-    if oversize:
-        records = cut_xml_records(
-            lines.filter(F.col("file_bytes") > max_bytes),
-            content,
-            chunk_rows=chunk_rows,
-            stage=stage,
-        ).withColumn("rec", F.from_xml(content, XML_RECORD_DDL, _xml_options(strict)))
-        fields = [F.col(f"rec.{f}").alias(f) for f in XML_TOP_FIELDS]
-        cut = records.select(
-            "file_name",
-            "record_no",
-            F.when(F.col("rec._corrupt").isNull(), F.struct(*fields)).alias("t"),
-            F.col("rec._corrupt").alias("bad"),
-        )
-        parsed = parsed.unionByName(cut)
-    return _good_and_bad(stage(parsed))
+        "record_no",
+        F.when(sound, F.struct(*fields)).alias("t"),
+        F.when(~F.col("closed"), F.col(content)).otherwise(F.col("rec._corrupt")).alias("bad"),
+    )
+    return _good_and_bad(stage(parsed) if stage else parsed, on_bad)
 
 
-def _good_and_bad(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Parsed transactions, and the text of what does not parse."""
+def _good_and_bad(parsed: DataFrame, on_bad: str = "record") -> tuple[DataFrame, DataFrame]:
+    """Parsed transactions, and the text of what is set aside."""
+    if on_bad not in ("record", "document"):
+        raise ValueError(f"on_bad is 'record' or 'document', not {on_bad!r}")
     good = parsed.filter("t IS NOT NULL AND bad IS NULL").drop("bad")
     bad = parsed.filter("bad IS NOT NULL").select(
         "file_name", "record_no", F.col("bad").alias("content")
     )
+    if on_bad == "document":
+        good = good.join(bad.select("file_name").distinct(), "file_name", "left_anti")
     return good, bad
 
 
@@ -321,13 +366,15 @@ def cut_json_records(
     key: str = "transactions",
     keep_urls: bool = False,
     chunk_rows: int = CHUNK_ROWS,
-    stage: Stage = _as_is,
+    stage: Stage | None = None,
 ) -> DataFrame:
-    """(file_name, record_no, content): the elements of the root-level member `key`.
+    """(file_name, record_no, closed, content): the elements of the root-level member `key`.
 
     Brackets outside strings are counted along the file. An element starts where the depth goes from
-    2 to 3 and is whole where it comes back.
+    2 to 3 and is whole where it comes back. Brackets that a file leaves open are told by a row without a
+    number.
     """
+    stage = stage or Staging(lines.sparkSession)
     line_comment = ("(?<!:)//" if keep_urls else "//") + ".*"
     folded = chunk_documents(lines, content, "\n", chunk_rows)
     cleaned = folded.withColumn(
@@ -345,7 +392,9 @@ def cut_json_records(
         return F.length(bare) - F.length(F.translate(bare, chars, ""))
 
     carried = plain.select("file_name", "chunk", (count("{[") - count("}]")).alias("_net")).select(
-        "file_name", "chunk", F.coalesce(F.sum("_net").over(_before()), F.lit(0)).alias("_deep")
+        "file_name",
+        "chunk",
+        F.coalesce(F.sum("_net").over(_before()), F.lit(0)).alias("_deep"),
     )
     token = rf'(?:{string}|[^"{{}}\[\]])++|[{{}}\[\]]|"'
     tokens = plain.join(carried, ["file_name", "chunk"]).select(
@@ -372,8 +421,10 @@ def cut_json_records(
         "chunk",
         "_pos",
         content,
+        "_step",
         ((F.col("_depth") >= 3) | ends).alias("_in"),
         ends.alias("_ends"),
+        F.when(F.col(content) == "{", 1).when(F.col(content) == "}", -1).otherwise(0).alias("_brace"),
         F.sum(starts.cast("int")).over(so_far).alias("piece"),
         F.last(named, ignorenulls=True).over(so_far).alias("_member"),
     )
@@ -381,6 +432,8 @@ def cut_json_records(
     pieces = placed.groupBy("file_name", "chunk", "piece").agg(
         F.expr(f"listagg(if(_in, {content}, NULL), '') WITHIN GROUP (ORDER BY _pos)").alias(content),
         F.max(F.col("_ends")).alias("closes"),
+        F.sum(F.when(F.col("_in"), F.col("_brace")).otherwise(0)).alias("net"),
+        F.sum("_step").alias("_brackets"),
         # Of the piece itself, and of whatever follows its last element in the chunk.
         F.max_by(F.col("_member"), F.when(inside, F.col("_pos"))).alias("_member"),
         F.max_by(F.col("_member"), F.col("_pos")).alias("_after"),
@@ -400,10 +453,24 @@ def cut_json_records(
         "chunk",
         "piece",
         "closes",
+        "net",
         # Pieces of other members keep their place but carry no text.
         F.when(ours, F.col(content)).alias(content),
     )
-    return join_pieces(wanted, content).filter(F.col(content).isNotNull())
+    records = join_pieces(wanted, content, stage).filter(F.col(content).isNotNull())
+    open_ = pieces.groupBy("file_name").agg(F.sum("_brackets").alias("_net")).filter("_net <> 0")
+    # unless a piece of the file is set aside anyway
+    open_ = open_.join(
+        records.filter("NOT closed").select("file_name").distinct(), "file_name", "left_anti"
+    )
+    return records.unionByName(
+        open_.select(
+            "file_name",
+            F.lit(None).cast("bigint").alias("record_no"),
+            F.lit(False).alias("closed"),
+            F.concat(F.lit("brackets left open: "), F.col("_net").cast("string")).alias(content),
+        )
+    )
 
 
 def variant_members(v: Column | str, path: str) -> Column:
@@ -414,43 +481,41 @@ def variant_members(v: Column | str, path: str) -> Column:
     )
 
 
+def json_document_elements(
+    lines: DataFrame, content: str = "raw_content", keep_urls: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """As `json_elements`, from whole documents; for files that a task can hold."""
+    docs = rebuild_json(dedup_lines(lines, content), content, keep_urls).withColumn(
+        "doc", F.try_parse_json(content)
+    )
+    parsed = docs.select(
+        "file_name",
+        F.when(F.col("doc").isNull(), F.col(content)).alias("bad"),
+        F.posexplode_outer(variant_members("doc", "$.transactions")).alias("_pos", "t"),
+    ).select("file_name", (F.col("_pos") + 1).cast("bigint").alias("record_no"), "t", "bad")
+    return _good_and_bad(parsed)
+
+
 def json_elements(
     lines: DataFrame,
     content: str = "raw_content",
-    max_bytes: int = MAX_DOCUMENT_BYTES,
     keep_urls: bool = False,
     chunk_rows: int = CHUNK_ROWS,
-    oversize: bool = True,
+    on_bad: str = "record",
     dedup: bool = True,
-    stage: Stage = _as_is,
+    stage: Stage | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(elements, unparsable), as `xml_elements`; here t is a variant.
+    """(elements, set aside), as `xml_elements`; here t is a variant.
 
-    A file that does not parse yields no element; it shows up in unparsable. Lines that are known
-    to be there once each need no `dedup`.
+    Lines that are known to be there once each need no `dedup`.
     """
     unique = dedup_lines(lines, content) if dedup else lines
-    docs = rebuild_json(
-        unique.filter(F.col("file_bytes") <= max_bytes), content, keep_urls
-    ).withColumn("doc", F.try_parse_json(content))
-    parsed = docs.select(
-        "file_name",
-        F.when(F.col("doc").isNull(), F.col(content)).alias("bad"),
-        F.posexplode_outer(variant_members("doc", "$.transactions")).alias("_pos", "t"),
-    ).select("file_name", (F.col("_pos") + 1).cast("bigint").alias("record_no"), "t", "bad")
-    if oversize:
-        records = cut_json_records(
-            unique.filter(F.col("file_bytes") > max_bytes),
-            content,
-            keep_urls=keep_urls,
-            chunk_rows=chunk_rows,
-            stage=stage,
-        ).withColumn("t", F.try_parse_json(content))
-        cut = records.select(
-            "file_name",
-            "record_no",
-            "t",
-            F.when(F.col("t").isNull(), F.col(content)).alias("bad"),
-        )
-        parsed = parsed.unionByName(cut)
-    return _good_and_bad(stage(parsed))
+    records = cut_json_records(
+        unique, content, keep_urls=keep_urls, chunk_rows=chunk_rows, stage=stage
+    )
+    parsed = records.withColumn(
+        "t", F.when(F.col("closed"), F.try_parse_json(content))
+    ).select(
+        "file_name", "record_no", "t", F.when(F.col("t").isNull(), F.col(content)).alias("bad")
+    )
+    return _good_and_bad(stage(parsed) if stage else parsed, on_bad)

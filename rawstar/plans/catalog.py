@@ -479,23 +479,18 @@ _XML_COLUMNS = [
 ]
 
 
-def _xml_flat(spark: SparkSession, sf_dir: str, max_bytes: int) -> DataFrame:
-    lines = r.order_xml(table(spark, sf_dir, "orders"))
-    elements, _ = documents.xml_elements(
-        lines, max_bytes=max_bytes, oversize=max_bytes < r.FILE_BYTES, stage=Staging(spark)
-    )
-    return silver.flatten_xml(elements).select(*_XML_COLUMNS)
-
-
 @query(_XML_ITEMS)
 def xml_rebuild_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _xml_flat(spark, sf_dir, documents.MAX_DOCUMENT_BYTES)
+    """Each file as one document."""
+    elements, _ = documents.xml_document_elements(r.order_xml(table(spark, sf_dir, "orders")))
+    return silver.flatten_xml(elements).select(*_XML_COLUMNS)
 
 
 @query(_XML_ITEMS)
 def xml_record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every file counts as too large to be put together."""
-    return _xml_flat(spark, sf_dir, 0)
+    """Each file in records."""
+    elements, _ = documents.xml_elements(r.order_xml(table(spark, sf_dir, "orders")))
+    return silver.flatten_xml(elements).select(*_XML_COLUMNS)
 
 
 @query("""
@@ -513,7 +508,7 @@ FROM orders
 """)
 def xml_standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = r.order_xml(table(spark, sf_dir, "orders"), copies=True)
-    elements, _ = documents.xml_elements(lines, oversize=False)
+    elements, _ = documents.xml_elements(lines)
     return _rounded(silver.xml_transactions(elements), "payment_amount").drop("filename")
 
 
@@ -526,7 +521,7 @@ SELECT event_id, event_type AS kind, CAST(props->>'k' AS BIGINT) AS k FROM event
 """)
 def json_clean_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _json_lines(r.event_json(table(spark, sf_dir, "events")))
-    elements, _ = documents.json_elements(lines, oversize=False)
+    elements, _ = documents.json_document_elements(lines)
     return elements.select(
         F.try_variant_get("t", "$.id", "bigint").alias("event_id"),
         F.try_variant_get("t", "$.kind", "string").alias("kind"),
@@ -550,23 +545,20 @@ WHERE o_orderstatus <> 'P'
 """
 
 
-def _json_flat(spark: SparkSession, sf_dir: str, max_bytes: int) -> DataFrame:
-    lines = _json_lines(r.order_json(table(spark, sf_dir, "orders")))
-    elements, _ = documents.json_elements(
-        lines, max_bytes=max_bytes, oversize=max_bytes < r.FILE_BYTES, stage=Staging(spark)
-    )
-    return _rounded(silver.flatten_json(elements), "payment_amount")
-
-
 @query(_JSON_ITEMS)
 def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _json_flat(spark, sf_dir, documents.MAX_DOCUMENT_BYTES)
+    """Each file as one document."""
+    lines = _json_lines(r.order_json(table(spark, sf_dir, "orders")))
+    elements, _ = documents.json_document_elements(lines)
+    return _rounded(silver.flatten_json(elements), "payment_amount")
 
 
 @query(_JSON_ITEMS)
 def json_record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every file counts as too large to be put together."""
-    return _json_flat(spark, sf_dir, 0)
+    """Each file in records."""
+    lines = _json_lines(r.order_json(table(spark, sf_dir, "orders")))
+    elements, _ = documents.json_elements(lines)
+    return _rounded(silver.flatten_json(elements), "payment_amount")
 
 
 # --- transactions and inferred members --------------------------------------------------------

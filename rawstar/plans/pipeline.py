@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rawstar.operators.documents import MAX_DOCUMENT_BYTES, json_elements, xml_elements
+from rawstar.operators.documents import json_elements, xml_elements
 from rawstar.plans import gold, rules, silver
 from rawstar.plans.control import BatchControl
 from rawstar.sources.ingest import ingest
@@ -20,7 +20,8 @@ class PipelineOptions:
 
     `grain` is 'transaction' (one item per transaction) or 'line'. `unique_key` keeps one inferred
     customer per id. `keep_urls` spares '://' from comment removal. `append` adds to the snapshot
-    of a batch instead of replacing it. `quarantine` also stores what was set aside.
+    of a batch instead of replacing it. `quarantine` also stores what was set aside. `on_bad` says
+    whether text that does not parse spoils its 'record' or its whole 'document'.
     """
 
     strict: bool = False
@@ -31,41 +32,32 @@ class PipelineOptions:
     quarantine: bool = True
     only_new: bool = True
     ignore_corrupt_files: bool = False
-    max_document_bytes: int = MAX_DOCUMENT_BYTES
-
-
-def _has_oversize(lake: Lake, kind: str, limit: int) -> bool:
-    return not lake.raw_splits(kind).filter(F.col("file_bytes") > limit).limit(1).isEmpty()
+    on_bad: str = "record"
 
 
 def build_transactions(
     lake: Lake, stage: Staging, options: PipelineOptions
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(unified transactions, their bad values, unparsable documents) from all raw lines."""
-    limit = options.max_document_bytes
     xml, bad_xml = xml_elements(
-        lake.raw_lines("xml"),
-        max_bytes=limit,
-        strict=options.strict,
-        oversize=_has_oversize(lake, "xml", limit),
-        stage=stage,
+        lake.raw_lines("xml"), strict=options.strict, on_bad=options.on_bad, stage=stage
     )
     json, bad_json = json_elements(
         lake.raw_lines("json"),
-        max_bytes=limit,
         keep_urls=options.keep_urls,
+        on_bad=options.on_bad,
         dedup=False,  # raw_lines gives each line of a file once
-        oversize=_has_oversize(lake, "json", limit),
         stage=stage,
     )
-    if options.strict and (broken := bad_json.first()) is not None:
-        raise ValueError(f"{broken['file_name']}: JSON that does not parse")
+    bad = bad_xml.unionByName(bad_json)
+    if options.strict and (broken := bad.first()) is not None:
+        raise ValueError(f"{broken['file_name']}: text that does not parse")
     unified = silver.unified_transactions(
         silver.xml_transactions(xml, options.strict, options.grain),
         silver.flatten_json(json, options.strict),
     )
     rejected = silver.xml_rejects(silver.flatten_xml(xml)).unionByName(silver.json_rejects(json))
-    return unified, rejected, bad_xml.unionByName(bad_json)
+    return unified, rejected, bad
 
 
 def build_silver(lake: Lake, batch_id: str, options: PipelineOptions) -> None:

@@ -7,8 +7,8 @@ from rawstar.operators import documents as d
 from rawstar.plans import silver
 
 
-def texts(df):
-    return [r["raw_content"] for r in df.orderBy("file_name", "record_no").collect()]
+def texts(df, *columns):
+    return [tuple(r) for r in df.orderBy("file_name", "record_no").select(*columns).collect()]
 
 
 def test_xml_records_across_chunks_and_comments(lines):
@@ -25,7 +25,7 @@ def test_xml_records_across_chunks_and_comments(lines):
         "garbage",
         None,
         "<Transaction>never closed",
-        "more",
+        "more</Items>",
     ]
     expected = [
         "<Transaction><A>1</A></Transaction>",
@@ -34,8 +34,71 @@ def test_xml_records_across_chunks_and_comments(lines):
     ]
     for rows in (1, 3, 100):
         got = d.cut_xml_records(lines(content), chunk_rows=rows)
-        found = [(r["record_no"], r["raw_content"]) for r in got.orderBy("record_no").collect()]
+        found = texts(got.filter("closed"), "record_no", "raw_content")
         assert found == list(enumerate(expected, start=1)), rows
+        open_ = "".join(r["raw_content"] for r in got.filter("not closed and record_no = 4").collect())
+        assert sorted(open_) == sorted("<Transaction>never closedmore</Items>"), rows
+        assert got.filter("record_no is null").count() == 0, rows
+
+
+@pytest.mark.parametrize("rows", [1, 2, 100])
+def test_marks_broken_over_lines(lines, rows):
+    content = [
+        "<SalesData><Transac", "tion><A>1</A></Trans", "action><!-", "- <Transaction> -", "-><Transaction",
+        " id='2'></Transaction", "></Sales", "Data>",
+    ]
+    got = d.cut_xml_records(lines(content), chunk_rows=rows)
+    assert texts(got, "closed", "raw_content") == [
+        (True, "<Transaction><A>1</A></Transaction>"),
+        (True, "<Transaction id='2'></Transaction>"),
+    ]
+
+
+def one(i):
+    return f"<Transaction><TransactionID>{i}</TransactionID></Transaction>"
+
+
+XML_FAULTS = {
+    "bad tag": ([one(1), "<Transaction><TransactionID>2</Transaction>", one(3)], ["1", "3"], 1),
+    "no end tag": ([one(1), "<Transaction><TransactionID>2</TransactionID>", one(3)], ["1", "3"], 1),
+    "truncated": ([one(1), "<Transaction><TransactionID>2</Tran"], ["1"], 1),
+    "stray end tag": ([one(1), "</Items>", one(2)], ["1", "2"], 1),
+    "stray end of a record": ([one(1), "</Transaction>", one(2)], ["1", "2"], 1),
+    "other elements": ([one(1), "<Sum><n>1</n>", "<m/></Sum>", one(2)], ["1", "2"], 0),
+}
+
+JSON_FAULTS = {
+    "bad literal": (['{"id": 1},', '{"id": nope},', '{"id": 3}', "]}"], [1, 3], 1),
+    "truncated in a record": (['{"id": 1},', '{"id": 2, "x": {"y'], [1], 1),
+    "truncated between records": (['{"id": 1},', '{"id": 2}'], [1, 2], 1),
+    "no end of a record": (['{"id": 1},', '{"id": 2, "x": {"y": 2},', '{"id": 3}', "]}"], [1], 1),
+    "deep": (['{"id": 1, "a": [[[[[[{"b": [7]}]]]]]]},', '{"id": 2}', "]}"], [1, 2], 0),
+}
+
+
+@pytest.mark.parametrize("name", XML_FAULTS)
+def test_xml_faults_are_set_aside(lines, name):
+    content, ids, faults = XML_FAULTS[name]
+    for rows in (1, 2, 100):
+        good, bad = d.xml_elements(lines(["<SalesData>", *content, "</SalesData>"]), chunk_rows=rows)
+        assert texts(good.select("*", "t.TransactionID"), "TransactionID") == [(i,) for i in ids], rows
+        assert (bad.count() > 0) == (faults > 0), rows
+        good, _ = d.xml_elements(lines(content), chunk_rows=rows, on_bad="document")
+        assert good.count() == (0 if faults else len(ids)), rows
+
+
+@pytest.mark.parametrize("name", JSON_FAULTS)
+def test_json_faults_are_set_aside(lines, name):
+    content, ids, faults = JSON_FAULTS[name]
+    for rows in (1, 2, 100):
+        df = lines(['{"transactions": [', *content])
+        good, bad = d.json_elements(df, chunk_rows=rows, dedup=False)
+        got = good.withColumn("id", F.try_variant_get("t", "$.id", "int"))
+        assert texts(got, "id") == [(i,) for i in ids], rows
+        assert (bad.count() > 0) == (faults > 0), rows
+        assert bad.filter("length(content) > 200").count() == 0
+        good, _ = d.json_elements(df, chunk_rows=rows, dedup=False, on_bad="document")
+        assert good.count() == (0 if faults else len(ids)), rows
 
 
 def test_json_records_across_chunks(lines):
@@ -68,8 +131,9 @@ def test_json_records_across_chunks(lines):
 def test_json_long_string_and_unbalanced_file(lines):
     long = "x\\\"" * 20_000
     content = ['{ "transactions": [', '{"id": "' + long + '"},', '{"id": 2, "open": {', "nothing more"]
-    got = texts(d.cut_json_records(lines(content), chunk_rows=2))
-    assert [len(t) for t in got] == [len(long) + 10]
+    got = d.cut_json_records(lines(content), chunk_rows=2).select("*", F.length("raw_content").alias("n"))
+    assert texts(got.filter("closed"), "n") == [(len(long) + 10,)]
+    assert texts(got.filter("not closed"), "record_no") == [(2,)]
 
 
 @pytest.mark.parametrize("seed", range(2))
@@ -91,10 +155,7 @@ def test_both_ways_agree_on_random_files(spark, seed):
                 text = text[cut:]
     lines = spark.createDataFrame(rows, "file_name string, file_row_number bigint, raw_content string")
 
-    def items(max_bytes):
-        elements, bad = d.xml_elements(
-            lines.withColumn("file_bytes", F.lit(5)), max_bytes=max_bytes, chunk_rows=4
-        )
+    def items(elements, bad):
         assert bad.count() == 0
         flat = silver.flatten_xml(elements)
         return sorted(
@@ -102,15 +163,17 @@ def test_both_ways_agree_on_random_files(spark, seed):
             for r in flat.select("file_name", "record_no", "transaction_id", "item_no", "sku").collect()
         )
 
-    assert items(10) == items(0) != []
+    whole = items(*d.xml_document_elements(lines))
+    assert whole == items(*d.xml_elements(lines, chunk_rows=4)) != []
+    assert whole == items(*d.xml_elements(lines))
 
 
 def test_unparsable_documents_are_set_aside(lines):
     good = "<Transaction><TransactionID>1</TransactionID></Transaction>"
     broken = "<Transaction><TransactionID>2</Transaction>"
-    elements, bad = d.xml_elements(lines([good, broken]))
+    elements, bad = d.xml_document_elements(lines([good, broken]))
     assert elements.count() == 0 and bad.first()["record_no"] is None
-    elements, bad = d.xml_elements(lines([good, broken]), max_bytes=0)
+    elements, bad = d.xml_elements(lines([good, broken]))
     assert elements.count() == 1 and bad.first()["content"] == broken
     with pytest.raises(Exception, match="(?i)malformed"):
         d.xml_elements(lines([good, broken]), strict=True)[0].collect()
@@ -119,7 +182,7 @@ def test_unparsable_documents_are_set_aside(lines):
 def test_json_documents(lines):
     def run(content, **kw):
         df = lines(content).withColumn("load_dt", F.lit("2024-01-01").cast("timestamp_ntz"))
-        return d.json_elements(df.unionByName(df), oversize=False, **kw)
+        return d.json_elements(df.unionByName(df), **kw)
 
     ok = ["----- x", '{"transactions": {"a": {"id": 1}}}; // tail', ""]
     elements, bad = run(ok)

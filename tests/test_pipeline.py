@@ -157,13 +157,6 @@ def test_registered_tables_and_views(built):
     assert lake.spark.table("gold_fact_order_gaps").count() == 3
 
 
-def test_same_facts_when_every_file_is_cut(built, spark, tmp_path):
-    _, _, root = built
-    options = PipelineOptions(max_document_bytes=10)
-    batch = run_pipeline(spark, str(root / "landing"), str(tmp_path / "lake"), options)
-    assert rows(Lake(spark, str(tmp_path / "lake")).gold("fact_transactions", batch), "*") == FACTS
-
-
 def test_a_run_after_a_failure_builds_what_is_loaded(built, spark, tmp_path, monkeypatch):
     from rawstar.plans import pipeline
 
