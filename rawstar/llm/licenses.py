@@ -10,8 +10,9 @@ they occur in the whole corpus, rarest first;
 - length: a block with fewer than k distinct words cannot qualify;
 - position: after a shared word at place i of the template's order at most n - i - 1 more follow.
 
-What passes is counted in full. The templates are a fixed table, so the counted words and the lookup
-have a fixed size and travel with the task; the blocks never leave theirs. There is no shuffle but
+What passes is counted in full, and must also hold what names the license (`MARKS`).
+
+The templates are a fixed table, so the counted words and the lookup have a fixed size and travel with the task; the blocks never leave theirs. There is no shuffle but
 that of the word counts, one row per template word and task.
 
 Besides, fixed phrases are looked up word by word (the base). Their labels stay whatever the join
@@ -24,6 +25,7 @@ score 0. Rows with equal ids are scanned each. An empty table gives an empty res
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -80,6 +82,29 @@ TEMPLATES = {
     "mpl-2": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
 }
 
+# What names the license, one pattern per template of the label (None: no other license
+# has the text). A template matches only a block that holds its name as well, as `THRESHOLD` of a
+# short sentence is also reached without it. Patterns read the words of a block, one space around
+# each. A version may stand after the name or before it.
+_MIT = r" (?:the|under|or|and) mit | mit (?:\S+ ){0,2}?licen[cs]es? "
+_APACHE = r" apache (?:\S+ ){0,4}?v?2 | v?2 (?:0 )?(?:\S+ ){0,3}?apache "
+_GNU = (
+    r" {0} public license (?:(?!gnu )\S+ ){{0,24}}?(?:(?:version|v|license|or|and) 3|v3) "
+    r"| (?:version |v )?v?3 (?:0 )?(?:(?!gnu )\S+ ){{0,3}}?{0} public license "
+)
+_GPL = _GNU.format("gnu general")
+MARKS = {
+    "mit": [_MIT, _MIT, None],
+    "apache-2": [_APACHE, _APACHE],
+    "cc-by-nc": [" by nc | attribution non ?commercial "] * 2,
+    "cc-by-sa": [" by sa | attribution share ?alike "] * 2,
+    "gpl-3": [_GPL, _GPL, _GPL],
+    "lgpl-3": [_GNU.format("gnu lesser general")],
+    "agpl-3": [_GNU.format("gnu affero general")],
+    "bsd-3": [None],
+    "mpl-2": [r" mozilla public license (?:\S+ ){0,4}?v?2 | v?2 (?:0 )?(?:\S+ ){0,3}?mozilla "],
+}
+
 _KEEP = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
 _LINES = bytes(
     c if c in _KEEP else c + 32 if 0x41 <= c <= 0x5A else 10 if c == 10 else 32 for c in range(256)
@@ -114,10 +139,19 @@ def word_frequencies(docs: DataFrame, words: frozenset[bytes]) -> dict[bytes, in
 class TemplateJoin:
     """Templates in global frequency order with the index over their prefixes."""
 
-    def __init__(self, frequency: dict[bytes, int], templates=None, threshold: float = THRESHOLD):
+    def __init__(
+        self,
+        frequency: dict[bytes, int],
+        templates=None,
+        threshold: float = THRESHOLD,
+        marks: dict[str, list[str | None]] | None = None,
+    ):
         self.found_in: dict[bytes, list[tuple[int, int]]] = {}
+        all_ = templates or TEMPLATES
+        named = [p for label in all_ for p in (marks or {}).get(label) or [None] * len(all_[label])]
+        self.mark = [re.compile(p.encode()) if p else None for p in named]
         self.label, self.order, self.need = [], [], []
-        for label, words in _template_sets(templates or TEMPLATES):
+        for label, words in _template_sets(all_):
             order = sorted(words, key=lambda w: (frequency.get(w, 0), w))
             need = max(1, math.ceil(threshold * len(order) - 1e-9))
             k = len(self.order)
@@ -129,8 +163,8 @@ class TemplateJoin:
         self.prefix = frozenset(self.found_in)
 
     def block(self, words: list[bytes]) -> dict[str, float]:
-        """label -> best containment among its templates that reach the threshold."""
-        have = set(words)
+        """label -> best containment among its templates that reach the threshold, name included."""
+        have, joined = set(words), b""
         out: dict[str, float] = {}
         hits: dict[int, int] = {}
         for w in have & self.prefix:
@@ -142,7 +176,11 @@ class TemplateJoin:
                 continue
             shared = sum(w in have for w in order[place:])
             if shared >= need:
-                label = self.label[k]
+                label, mark = self.label[k], self.mark[k]
+                if mark:
+                    joined = joined or b" " + b" ".join(words) + b" "
+                    if not mark.search(joined):
+                        continue
                 out[label] = max(out.get(label, 0.0), shared / len(order))
         return out
 
@@ -169,11 +207,19 @@ def phrase_places(words: bytes, phrase: bytes) -> list[int]:
     return out
 
 
-def scan(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+def scan(
+    docs: DataFrame,
+    templates=None,
+    threshold: float = THRESHOLD,
+    marks: dict[str, list[str | None]] | None = None,
+) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
+
+    Without `marks` this is the plain containment join.
+    """
     names = _template_sets(templates or TEMPLATES)
     every = frozenset(w for _, words in names for w in words)
-    join = TemplateJoin(word_frequencies(docs, every), templates, threshold)
+    join = TemplateJoin(word_frequencies(docs, every), templates, threshold, marks)
     phrases = [(f" {p} ".encode(), label) for p, label in PHRASES.items()]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -215,3 +261,8 @@ def scan(docs: DataFrame, templates=None, threshold: float = THRESHOLD) -> DataF
         "doc_id long, n_words long, n_base long, first_word long, last_word long, "
         "base_labels string, labels string, score double",
     )
+
+
+def find_licenses(docs: DataFrame) -> DataFrame:
+    """The scan for the given templates, each with its name."""
+    return scan(docs, marks=MARKS)

@@ -79,3 +79,34 @@ def test_filters_lose_nothing():
         join = li.TemplateJoin(frequency)
         for t in TEXTS:
             assert join.text(li.line_words(t)) == pytest.approx(brute_labels(t))
+
+
+GRANTS = {
+    "Licensed under the MIT License.": {"mit"},
+    "Released under the MIT/X11 licence, under the terms of the license": {"mit"},
+    "Licensed under the Apache License, Version 2.0.": {"apache-2"},
+    "Licensed under version 2.0 of the Apache License.": {"apache-2"},
+    "Licensed under CC BY-NC 4.0.": {"cc-by-nc"},
+    "Licensed under CC BY-SA 4.0.": {"cc-by-sa"},
+    "Licensed under CC BY 4.0.": set(),
+    "Creative Commons Attribution-NonCommercial 4.0 International License": {"cc-by-nc"},
+    "Creative Commons Attribution-ShareAlike 4.0 International License": {"cc-by-sa"},
+    "This work is licensed under the GNU General Public License, version 3.": {"gpl-3"},
+    "Licensed under version 3 of the GNU General Public License.": {"gpl-3"},
+    "Licensed under the GNU General Public License (GPL), version 2 or version 3.": {"gpl-3"},
+    "Licensed under the GNU General Public License version 2": set(),
+    "Licensed under the GNU Lesser General Public License version 3": {"lgpl-3"},
+    "Licensed under the GNU Affero General Public License version 3": {"agpl-3"},
+    "Licensed under the GNU General Public License version 2 and "
+    "the GNU Lesser General Public License version 3": {"lgpl-3"},
+    "Licensed under the BSD license": set(),
+    "er kam mit dem Zug. Licensed under the Apache License, Version 2.0": {"apache-2"},
+}
+
+
+def test_each_grant_gets_its_own_label_only(make_docs):
+    texts = list(GRANTS) + [t for all_ in li.TEMPLATES.values() for t in all_]
+    want = list(GRANTS.values()) + [{label} for label, all_ in li.TEMPLATES.items() for _ in all_]
+    rows = {r.doc_id: r.labels for r in li.find_licenses(make_docs(texts)).collect()}
+    for i, (text, labels) in enumerate(zip(texts, want)):
+        assert rows[i] == ",".join(sorted(labels)), text
