@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawstar.llm import (
+    audit,
     bpe,
     chat,
     exact_dedup,
+    fim,
     licenses,
     mixing,
     pii,
@@ -87,6 +89,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.transform(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.drop("filter")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_simhash": op2_simhash,
@@ -98,6 +118,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_license_scan": op10_license_scan,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 #: A-Z only: translate() works by character and leaves all others alone.
@@ -115,4 +137,76 @@ ORACLES: dict[str, str] = {
                sha256(low) AS text_sha256
         FROM d WINDOW g AS (PARTITION BY low)
     """,
+    "op12_fill_in_middle": r"""
+        WITH t AS (
+          SELECT doc_id, coalesce(text, '') AS text,
+            regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+            sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d
+          FROM documents
+        ), h AS (
+          SELECT *, len(u) AS n, CAST('0x' || d[1:8] AS BIGINT) % (len(u) + 1) AS c1,
+            CAST('0x' || d[9:16] AS BIGINT) % (len(u) + 1) AS c2,
+            CAST('0x' || d[17:24] AS BIGINT) AS h3, CAST('0x' || d[25:32] AS BIGINT) AS h4
+          FROM t
+        ), cut AS (
+          SELECT *, array_to_string(u[1:least(c1, c2)], '') AS p,
+            array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+            array_to_string(u[greatest(c1, c2) + 1:], '') AS s,
+            CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+          FROM h)
+        SELECT doc_id, n, form,
+          CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+          CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+          sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+          sha256(text) AS restored_sha256
+        FROM cut
+    """,
+    "op13_filter_audit": r"""
+        WITH d AS (
+          SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+          FROM documents
+        ), l AS (
+          SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+          FROM labels GROUP BY doc_id
+        ), fails AS (
+          SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+            [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+             100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text),
+             regexp_matches(text, '[#$%&*|]'),
+             coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false)] AS f
+          FROM d LEFT JOIN l ON l.doc_id = d.doc_id
+        ), cell AS (
+          SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+          FROM fails GROUP BY part, f
+        ), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c
+        ), orders AS (
+          SELECT a.c || b.c || x.c || y.c || z.c AS o FROM letters a, letters b, letters x, letters y, letters z
+          WHERE len(list_distinct([a.c, b.c, x.c, y.c, z.c])) = 5
+        ), steps AS (
+          SELECT o, CAST(s AS INT) AS step, ascii(o[s]) - 64 AS k,
+            list_transform(range(1, s), lambda i: ascii(o[i]) - 64) AS earlier
+          FROM orders, range(1, 6) r(s)
+        ), counted AS (
+          SELECT part, o AS filter_order, step, k,
+            sum(n) FILTER (WHERE NOT gone AND NOT f[k]) AS kept,
+            sum(n) FILTER (WHERE NOT gone AND f[k]) AS removed,
+            sum(n) FILTER (WHERE gone AND f[k]) AS redundant,
+            sum(n) FILTER (WHERE f[k] AND len(list_filter(f, lambda x: x)) = 1) AS unique_fails,
+            sum(good) FILTER (WHERE NOT gone AND f[k]) AS good_lost,
+            sum(toxic) FILTER (WHERE NOT gone AND f[k]) AS toxic_lost
+          FROM (SELECT *, len(list_filter(earlier, lambda i: f[i])) > 0 AS gone FROM cell, steps)
+          GROUP BY part, o, step, k)
+        SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+          CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+          CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+          CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+          CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+          CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+          CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, k) AS BIGINT) AS shapley
+        FROM counted
+    """,
 }
