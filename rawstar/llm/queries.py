@@ -20,6 +20,7 @@ from rawstar.llm import (
     simhash,
     spotsigs,
     suffix_dedup,
+    token_files,
 )
 from rawstar.llm.base import table
 
@@ -89,6 +90,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_files.round_trip(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = fim.transform(table(spark, sf_dir, "documents"))
     return cut.select(
@@ -118,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_license_scan": op10_license_scan,
+    "op11_token_files": op11_token_files,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_filter_audit": op13_filter_audit,
 }
