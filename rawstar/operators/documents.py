@@ -7,6 +7,11 @@ not parse, the pieces of one that is never closed, unbalanced markup between rec
 file leaves open. `on_bad` says whether such a row spoils its record ("record") or its whole file
 ("document").
 
+What a chunk means depends on what comes before it: does it start inside a comment, and in which
+brackets? Each chunk says, in one scan, what it makes of every state it may start in, in a few bytes.
+Those summaries are put together along the file, and each chunk is then cut with the state it does
+start in. Scans are linear in the chunk, whatever it holds.
+
 `rebuild_xml` and `rebuild_json` give each file as one text instead, for those who want that.
 
 Lines carry file_name, file_row_number and a text column.
@@ -28,6 +33,8 @@ from rawstar.sources.lake import Staging
 
 CHUNK_ROWS = 10_000
 BLOCK_ROWS = 250
+#: Longer records are set aside piece by piece: they are more likely unclosed than meant.
+MAX_RECORD_CHUNKS = 64
 XML_DOCUMENT_DDL = f"Transaction array<struct<{XML_TRANSACTION_DDL}>>, _corrupt string"
 XML_RECORD_DDL = f"{XML_TRANSACTION_DDL}, _corrupt string"
 #: An opening tag that is not closed at once.
@@ -104,40 +111,13 @@ def _before() -> WindowSpec:
     )
 
 
-def strip_chunk_comments(
-    chunks: DataFrame, content: str, opening: str, closing: str
-) -> DataFrame:
-    """Remove comments, also those that run over many chunks.
-
-    The last marker in a chunk decides whether the next chunk starts inside a comment, whatever the
-    chunk itself started in.
-    """
-    o, c = re.escape(opening), re.escape(closing)
-    last = F.regexp_extract(content, f"(?s).*({o}|{c})", 1)
-    mark = F.when(last != "", F.struct("chunk", (last == opening).alias("open")))
-    carried = chunks.select("file_name", "chunk", mark.alias("_mark")).select(
-        "file_name", "chunk", F.max("_mark").over(_before())["open"].alias("_inside")
-    )
-    whole = F.col(content)
-    closed_at = F.instr(whole, closing)
-    rest = F.when(
-        F.coalesce("_inside", F.lit(False)),
-        F.when(closed_at > 0, F.substring(whole, closed_at + len(closing), F.length(whole))),
-    ).otherwise(whole)
-    plain = F.regexp_replace(rest, rf"(?s){o}.*?(?:{c}|\z)", "")
-    return chunks.join(carried, ["file_name", "chunk"]).select(
-        "file_name", "chunk", plain.alias(content)
-    )
-
-
 def join_pieces(pieces: DataFrame, content: str, stage: Stage) -> DataFrame:
     """(file_name, record_no, closed, content) of every record.
 
     `pieces` has, per chunk, piece 0 (what comes before the first record start, perhaps the end of
     an earlier record) and pieces 1.. that each start a record; `closes` tells that the record ends
-    in the piece, `net` how many more braces it opens than it closes. A closed record is one row. Of
-    a record that is never closed, or whose braces do not match, each piece is a row of its own, so
-    that no row outgrows a chunk. `rest`, where pieces have it, is what follows the record in its
+    in the piece. A closed record is one row. Of a record that is never closed, or that runs over more
+    than MAX_RECORD_CHUNKS chunks, each piece is a row of its own, so that no row outgrows those. `rest`, where pieces have it, is what follows the record in its
     piece; unbalanced markup there, or before a record, comes out as rows without a number.
     """
     starts = F.col("piece") > 0
@@ -160,11 +140,11 @@ def join_pieces(pieces: DataFrame, content: str, stage: Stage) -> DataFrame:
     keys = ["file_name", "record_no"]
     ours = placed.filter(inside).withColumn("_whole", starts & F.col("closes"))
     # few rows: only what crosses a chunk border
-    parts = stage(ours.filter("NOT _whole").select(*keys, "chunk", "closes", "net", content))
+    parts = stage(ours.filter("NOT _whole").select(*keys, "chunk", "closes", content))
     sound = (
         parts.groupBy(*keys)
-        .agg(F.max("closes").alias("_closed"), F.sum("net").alias("_net"))
-        .filter("_closed AND _net = 0")
+        .agg(F.max("closes").alias("_closed"), F.count("*").alias("_parts"))
+        .filter(F.col("_closed") & (F.col("_parts") <= MAX_RECORD_CHUNKS))
         .select(*keys)
     )
     joined = ordered_concat(parts.join(sound, keys, "left_semi"), keys, content, ["chunk"])
@@ -206,25 +186,65 @@ def rebuild_xml(lines: DataFrame, content: str = "raw_content", root: str = "Sal
     )
 
 
-def carry_tails(chunks: DataFrame, content: str) -> DataFrame:
-    """Move a tag or comment mark that a chunk leaves unfinished to the start of the next chunk.
+#: What a chunk may leave unfinished: a tag, or a comment mark.
+_TAIL = r"(?:<[^<>]*+|-{1,2})$"
+
+
+def _ends_in_comment(content: Column) -> Column:
+    """Whether the last comment mark opens a comment; NULL without a mark.
 
-    A single tag is taken to be shorter than a chunk.
+    Tails behind the last marks are compared, not searched for. The opening mark gives way to one
+    sign first, as `<!-->` holds no closing one.
     """
-    tail = F.regexp_extract(content, r"(?:<[^<>]*+|-{1,2})$", 0)
+    one = F.replace(content, F.lit("<!--"), F.lit("\x01"))
+    n = F.length(one)
+    behind_open = F.length(F.substring_index(one, "\x01", -1))
+    behind_close = F.length(F.substring_index(one, "-->", -1))
+    return F.when((behind_open < n) | (behind_close < n), behind_open < behind_close)
+
+
+def xml_chunk_states(chunks: DataFrame, content: str) -> DataFrame:
+    """(file_name, chunk, head, cut, inside) from one row per chunk; no text is moved.
+
+    `head` is the tag or mark that the chunk before leaves unfinished, `cut` how many signs this chunk
+    leaves to the next, `inside` whether the text starts in a comment. A single tag is taken to be
+    shorter than a chunk.
+    """
+    tail = F.regexp_extract(content, _TAIL, 0)
+    body = F.substr(content, F.lit(1), F.length(content) - F.length("_tail"))
+    small = chunks.withColumn("_tail", tail).select(
+        "file_name",
+        "chunk",
+        "_tail",
+        F.substring(body, 1, 3).alias("_first"),
+        _ends_in_comment(body).alias("_own"),
+    )
     along = Window.partitionBy("file_name").orderBy("chunk")
-    moved = chunks.select("file_name", "chunk", tail.alias("_tail")).select(
+    moved = small.select(
         "file_name",
         "chunk",
-        F.coalesce(F.lag("_tail").over(along), F.lit("")).alias("_head"),
-        F.when(F.lead("chunk").over(along).isNotNull(), F.length("_tail")).otherwise(0).alias("_cut"),
+        "_own",
+        "_first",
+        F.coalesce(F.lag("_tail").over(along), F.lit("")).alias("head"),
+        F.when(F.lead("chunk").over(along).isNotNull(), F.length("_tail")).otherwise(0).alias("cut"),
     )
-    own = F.substr(content, F.lit(1), F.length(content) - F.col("_cut"))
-    return chunks.join(moved, ["file_name", "chunk"]).select(
-        "file_name", "chunk", F.concat("_head", own).alias(content)
+    # a mark may also lie over the border
+    mark = F.coalesce("_own", _ends_in_comment(F.concat("head", "_first")))
+    inside = F.last("_mark", ignorenulls=True).over(_before())
+    return moved.withColumn("_mark", mark).select(
+        "file_name", "chunk", "head", "cut", F.coalesce(inside, F.lit(False)).alias("inside")
     )
 
 
+def without_xml_comments(content: Column, inside: Column) -> Column:
+    """Text outside comments; `inside` says whether it starts in one."""
+    closed_at = F.instr(content, "-->")
+    rest = F.when(
+        inside, F.when(closed_at > 0, F.substr(content, closed_at + F.lit(3)))
+    ).otherwise(content)
+    return F.regexp_replace(rest, r"(?s)<!--.*?(?:-->|\z)", "")
+
+
 def cut_xml_records(
     lines: DataFrame,
     content: str = "raw_content",
@@ -240,12 +260,19 @@ def cut_xml_records(
     """
     stage = stage or Staging(lines.sparkSession)
     cleaned = lines.withColumn(content, text.strip_dashed(content))
-    folded = carry_tails(chunk_documents(cleaned, content, "", chunk_rows), content)
-    plain = strip_chunk_comments(folded, content, "<!--", "-->")
+    chunks = stage(chunk_documents(cleaned, content, "", chunk_rows))
+    own = F.substr(content, F.lit(1), F.length(content) - F.col("cut"))
+    placed = chunks.join(xml_chunk_states(chunks, content), ["file_name", "chunk"])
+    plain = placed.select(
+        "file_name",
+        "chunk",
+        without_xml_comments(F.concat("head", own), F.col("inside")).alias(content),
+    ).filter(F.col(content).isNotNull())
     start, end = rf"<{tag}(?:[\s>/]|$)", f"</{tag}>"
-    plain = plain.withColumn(content, F.regexp_replace(content, rf"</{tag}\s+>", end)).withColumn(
-        content, text.strip_root(content, root)
-    )
+    spaced = F.when(
+        F.col(content).contains(f"</{tag} "), F.regexp_replace(content, rf"</{tag}\s+>", end)
+    ).otherwise(F.col(content))
+    plain = plain.withColumn(content, spaced).withColumn(content, text.strip_root(content, root))
     cut = plain.select(
         "file_name",
         "chunk",
@@ -258,7 +285,6 @@ def cut_xml_records(
         "chunk",
         (F.col("_pos") + F.col("_lead")).alias("piece"),
         closes.alias("closes"),
-        F.lit(0).alias("net"),
         F.when(closes, F.concat(F.substring_index(content, end, 1), F.lit(end)))
         .otherwise(F.col(content))
         .alias(content),
@@ -347,16 +373,169 @@ def dedup_lines(lines: DataFrame, content: str = "raw_content") -> DataFrame:
     )
 
 
-def rebuild_json(
-    lines: DataFrame, content: str = "raw_content", keep_urls: bool = False
-) -> DataFrame:
+def rebuild_json(lines: DataFrame, content: str = "raw_content") -> DataFrame:
     """(file_name, content): each file as one document without envelope, comments, semicolons."""
     whole = concat_lines(
         lines.select("file_name", "file_row_number", content), ["file_name"], content, "\n"
     )
-    doc = text.strip_line_comments(text.strip_dash_lines(content), keep_urls)
-    return whole.select(
-        "file_name", text.strip_semicolons(text.strip_block_comments(doc)).alias(content)
+    doc = text.strip_json_comments(text.strip_dash_lines(content))
+    return whole.select("file_name", text.strip_semicolons(doc).alias(content))
+
+
+# Marks put around segments; such control signs are not allowed in JSON and are dropped from it.
+_START, _END, _STOP = "\x03", "\x04", "\x01"
+#: Text that a chunk is given at its end. Outside comments it stays, inside one only _STOP does.
+_SENTINEL = "\n*/" + _STOP
+
+# Segments of a text: at most one opening bracket, at its start, and one closing, at its end. Possessive
+# repeats: no backtracking, and no recursion on long strings.
+_JSON_STRING = r'"(?:\\.|[^"\\\n])*+"'
+_SEGMENT = rf'[{{\[]?+(?:{_JSON_STRING}|[^"{{}}\[\]]++|")*+[}}\]]?+'
+# Code of a segment by its opening bracket (none, brace, square), its closing one, and what it opens: an
+# element, a member's value, the wanted member's value.
+#   . text   } ] closes   e A opens an element   o a opens a member   W M opens the wanted member
+#   E N a whole element   n b a whole member   x X y Y closes with the wrong kind
+_CODES = "..." "}}}" "]]]" "eoW" "Enn" "xXX" "AaM" "yYY" "Nbb"
+_REDUCE_ROUNDS = 8
+
+
+def _stripped(content: Column) -> tuple[Column, Column]:
+    """(text without comments, whether it ends in one) for text that starts outside comments."""
+    out = text.strip_json_comments(F.concat(content, F.lit(_SENTINEL)))
+    plain = out.endswith(_SENTINEL[1:])
+    keep = F.length(out) - F.when(plain, len(_SENTINEL)).otherwise(len(_STOP))
+    return F.substr(out, F.lit(1), keep), ~plain
+
+
+# The rest is SQL text: lambdas in lambdas are built in one call that way.
+
+
+def _segments(plain: str) -> Column:
+    return F.regexp_extract_all(text.strip_semicolons(plain), F.lit(_SEGMENT), F.lit(0))
+
+
+def _codes(segments: str, key: str) -> Column:
+    """One sign per segment, by its brackets and by what stands before it."""
+    wanted = rf'"{re.escape(key)}"\s*:\s*$'
+    return F.expr(rf"""
+        array_join(transform({segments}, (s, i) -> CASE WHEN s = '' THEN '.' ELSE substring('{_CODES}',
+          1 + 9 * instr('{{[', substring(s, 1, 1)) + 3 * instr('}}]', substring(s, -1, 1)) + CASE
+            WHEN substring(s, 1, 1) NOT IN ('{{', '[') OR i = 0 THEN 0
+            WHEN get({segments}, i - 1) RLIKE r'{wanted}' THEN 2
+            WHEN get({segments}, i - 1) RLIKE r':\s*$' THEN 1 ELSE 0 END, 1) END), '')
+    """)
+
+
+def _reduced(codes: str) -> Column:
+    """What the brackets of a text do to those around it, in short: sound pairs are left out.
+
+    A whole element is E: it ends an unclosed object before it. That happens once however many follow.
+    """
+    out = f"regexp_replace({codes}, '[.nbN]', '')"
+    for mixed, pair in (("x", "e]"), ("X", "o]"), ("y", "A}"), ("Y", "a}")):
+        out = f"replace({out}, '{mixed}', '{pair}')"
+    for _ in range(_REDUCE_ROUNDS):
+        out = rf"regexp_replace(regexp_replace({out}, r'[oW]\}}|[aAM]E?+\]', ''), r'(?:e\}}|E)++', 'E')"
+    return F.expr(out)
+
+
+# The stack of open brackets is a text of { and [, with < and ( for the wanted member's value. An element
+# cannot start in an object: objects above the nearest array are given up. A closing bracket closes the
+# nearest open one of its kind, with all above it; a stray one is left out.
+_FOUND = r"""
+    CASE WHEN c IN ('e', 'E', 'x') AND st RLIKE r'^.+[\[(][{<]+$' THEN regexp_extract(st, r'^(.*[\[(])[{<]+$')
+      ELSE st END
+"""
+_CLOSE_OBJECT = r"""
+    CASE WHEN right({st}, 1) IN ('{{', '<') THEN left({st}, length({st}) - 1)
+      WHEN {st} RLIKE r'^..+[{{<][\[(]+$' THEN regexp_extract({st}, r'^(.*)[{{<][\[(]+$') ELSE {st} END
+"""
+_CLOSE_ARRAY = r"""
+    CASE WHEN right({st}, 1) IN ('[', '(') THEN left({st}, length({st}) - 1)
+      WHEN {st} RLIKE r'[\[(][{{<]+$' THEN regexp_extract({st}, r'^(.*)[\[(][{{<]+$') ELSE {st} END
+"""
+#: The stack behind a segment with code `c`, from the one that its bracket is put on.
+_AFTER = f"""
+    CASE WHEN c IN ('E', 'n', 'b', 'N') THEN found
+      WHEN c = '}}' THEN {_CLOSE_OBJECT.format(st="found")}
+      WHEN c = ']' THEN {_CLOSE_ARRAY.format(st="found")}
+      WHEN c IN ('x', 'X') THEN {_CLOSE_ARRAY.format(st="(found || '{')")}
+      WHEN c IN ('y', 'Y') THEN {_CLOSE_OBJECT.format(st="(found || '[')")}
+      ELSE found || CASE WHEN c IN ('e', 'o') THEN '{{' WHEN c IN ('a', 'A') THEN '['
+        WHEN c = 'W' THEN if(length(found) = 1, '<', '{{') ELSE if(length(found) = 1, '(', '[') END
+    END
+"""
+
+
+def _signs(codes: str) -> str:
+    return f"filter(split({codes}, ''), x -> x <> '')"
+
+
+def _stack_after(stack: str, reduced: str) -> str:
+    """The stack behind a text of reduced codes."""
+    return f"""
+        aggregate({_signs(reduced)}, {stack},
+          (st, c) -> transform(array({_FOUND}), found -> {_AFTER})[0])
+    """
+
+
+def _flags(stack: str, codes: str) -> Column:
+    """One sign per segment: s starts a record, z ends it, S does both, i is inside one, o is not."""
+    wanted, inside = r"RLIKE r'^[{\[][<(]$'", r"RLIKE r'^[{\[][<(].'"
+    ends = f"c NOT IN ('e', 'o', 'a', 'A', 'W', 'M') AND after {wanted}"
+    flag = f"""
+        CASE WHEN c NOT IN ('}}', ']') AND found {wanted} THEN if({ends}, 'S', 's')
+          WHEN found {inside} THEN if({ends}, 'z', 'i') ELSE 'o' END
+    """
+    return F.expr(f"""
+        aggregate({_signs(codes)}, struct({stack} AS st, '' AS flags),
+          (acc, c) -> CASE WHEN c = '.' THEN
+              struct(acc.st AS st, acc.flags || if(acc.st {inside}, 'i', 'o') AS flags)
+            ELSE transform(transform(array(acc.st), st -> {_FOUND}), found ->
+              transform(array({_AFTER}), after -> struct(after AS st, acc.flags || {flag} AS flags))[0])[0]
+            END,
+          acc -> acc.flags)
+    """)
+
+
+def json_comment_states(chunks: DataFrame) -> DataFrame:
+    """(file_name, chunk, inside): whether a chunk starts in a comment.
+
+    `from_plain` and `from_inside` say how a chunk ends for either start. A chunk that ends the same way
+    for both settles the state; one that keeps it changes nothing; one that swaps it is counted.
+    """
+    swaps = F.when(F.col("from_plain") & ~F.col("from_inside"), 1).otherwise(0)
+    up_to = _before().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = chunks.select("file_name", "chunk", "from_plain", "from_inside", swaps.alias("_swap"))
+    counted = counted.withColumn("_swaps", F.sum("_swap").over(up_to))
+    settled = F.when(
+        F.col("from_plain") == F.col("from_inside"), F.struct(F.col("from_plain").alias("to"), "_swaps")
+    )
+    known = F.last(settled, ignorenulls=True).over(_before())
+    swapped = F.coalesce(F.lag("_swaps").over(Window.partitionBy("file_name").orderBy("chunk")), F.lit(0))
+    odd = (swapped - F.coalesce(known["_swaps"], F.lit(0))) % 2 == 1
+    inside = F.coalesce(known["to"], F.lit(False)) != odd
+    return counted.select("file_name", "chunk", inside.alias("inside"))
+
+
+def json_chunk_stacks(summaries: DataFrame) -> DataFrame:
+    """(file_name, chunk, stack): the brackets that are open where a chunk starts.
+
+    `summaries` has (file_name, chunk, reduced), a few bytes per chunk. One more row per file, without
+    a chunk, has the brackets that are open at its end.
+    """
+
+    fold = f"""
+        aggregate(_all, struct('' AS stack, CAST(array() AS array<struct<chunk:bigint,stack:string>>) AS out),
+          (acc, x) -> struct({_stack_after("acc.stack", "x.reduced")} AS stack,
+            concat(acc.out, array(struct(x.chunk AS chunk, acc.stack AS stack))) AS out))
+    """
+    none = F.struct(F.lit(None).cast("bigint").alias("chunk"), F.col("_end.stack").alias("stack"))
+    return (
+        summaries.groupBy("file_name")
+        .agg(F.array_sort(F.collect_list(F.struct("chunk", "reduced"))).alias("_all"))
+        .select("file_name", F.expr(fold).alias("_end"))
+        .select("file_name", F.inline(F.concat("_end.out", F.array(none))))
     )
 
 
@@ -364,111 +543,125 @@ def cut_json_records(
     lines: DataFrame,
     content: str = "raw_content",
     key: str = "transactions",
-    keep_urls: bool = False,
     chunk_rows: int = CHUNK_ROWS,
     stage: Stage | None = None,
 ) -> DataFrame:
     """(file_name, record_no, closed, content): the elements of the root-level member `key`.
 
-    Brackets outside strings are counted along the file. An element starts where the depth goes from
-    2 to 3 and is whole where it comes back. Brackets that a file leaves open are told by a row without a
-    number.
+    Brackets outside strings and comments are followed by kind. A record that lacks a bracket ends at
+    the next element or at a closing bracket of another kind, and the one after it is whole again. One
+    that breaks off inside an array of its own takes the elements after it for its own, up to a closing
+    bracket that does not fit. Brackets that a file leaves open are told by a row without a number.
     """
     stage = stage or Staging(lines.sparkSession)
-    line_comment = ("(?<!:)//" if keep_urls else "//") + ".*"
-    folded = chunk_documents(lines, content, "\n", chunk_rows)
-    cleaned = folded.withColumn(
-        content, F.regexp_replace(text.strip_dash_lines(content), line_comment, "")
-    )
-    plain = strip_chunk_comments(cleaned, content, "/*", "*/").withColumn(
-        content, text.strip_semicolons(content)
-    )
-
-    # Possessive repeats: no backtracking, and no recursion on long strings.
-    string = r'"(?:\\.|[^"\\\n])*+"'
-    bare = F.regexp_replace(content, string, "")
-
-    def count(chars: str) -> Column:
-        return F.length(bare) - F.length(F.translate(bare, chars, ""))
-
-    carried = plain.select("file_name", "chunk", (count("{[") - count("}]")).alias("_net")).select(
-        "file_name",
-        "chunk",
-        F.coalesce(F.sum("_net").over(_before()), F.lit(0)).alias("_deep"),
+    undashed = lines.withColumn(
+        content, F.when(~F.col(content).startswith("--"), F.col(content)).otherwise("")
     )
-    token = rf'(?:{string}|[^"{{}}\[\]])++|[{{}}\[\]]|"'
-    tokens = plain.join(carried, ["file_name", "chunk"]).select(
-        "file_name",
-        "chunk",
-        "_deep",
-        F.posexplode(F.regexp_extract_all(content, F.lit(token), F.lit(0))).alias("_pos", content),
-    )
-    along = Window.partitionBy("file_name", "chunk").orderBy("_pos")
-    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    step = F.when(F.col(content).isin("{", "["), 1).when(F.col(content).isin("}", "]"), -1)
-    deep = tokens.withColumn("_step", F.coalesce(step, F.lit(0))).withColumn(
-        "_depth", F.col("_deep") + F.sum("_step").over(so_far)
-    )
-    starts = (F.col("_step") == 1) & (F.col("_depth") == 3)
-    ends = (F.col("_step") == -1) & (F.col("_depth") == 2)
-    # The last text at depth 1 before a member's value ends with the member's name.
-    named = F.when(
-        (F.col("_step") == 0) & (F.col("_depth") == 1) & (F.trim(content) != ""),
-        F.col(content).rlike(rf'"{re.escape(key)}"\s*:\s*$'),
-    )
-    placed = deep.select(
+    marks = _START + _END + _STOP
+    folded = chunk_documents(undashed, content, "\n", chunk_rows).withColumn(
+        content,
+        F.when(F.col(content).rlike(f"[{marks}]"), F.translate(content, marks, "")).otherwise(
+            F.col(content)
+        ),
+    )
+
+    # One scan for the usual case of a chunk that starts outside comments. One that may start inside
+    # keeps what would then be left of it.
+    closed_at = F.instr(content, "*/")
+    plain, in_comment = _stripped(F.col(content))
+    rest = F.when(closed_at > 0, F.substr(content, closed_at + F.lit(2)))
+    scanned = (
+        folded.select("file_name", "chunk", plain.alias("_plain"), in_comment.alias("from_plain"), rest.alias("rest"))
+        .withColumn("from_inside", F.coalesce(_stripped(F.col("rest"))[1], F.lit(True)))
+        .withColumn("segments", _segments("_plain"))
+        .withColumn("codes", _codes("segments", key))
+    )
+    ends = (
+        F.when(F.col("_plain").rlike(rf'"{re.escape(key)}"\s*:\s*$'), "wanted")
+        .when(F.col("_plain").rlike(r":\s*$"), "member")
+        .when(F.col("_plain").rlike(r"\S"), "other")
+    )
+    scanned = stage(
+        scanned.select(
+            "file_name", "chunk", "from_plain", "from_inside", "rest", "segments", "codes",
+            ends.alias("ends"), F.right("_plain", F.lit(200)).alias("tail"),
+        )
+    )
+    inside = json_comment_states(scanned)
+    again = (
+        scanned.join(inside.filter("inside"), ["file_name", "chunk"])
+        .withColumn("_plain", F.coalesce(_stripped(F.col("rest"))[0], F.lit("")))
+        .withColumn("segments", _segments("_plain"))
+        .withColumn("codes", _codes("segments", key))
+        .select("file_name", "chunk", "segments", "codes", ends.alias("ends"), F.right("_plain", F.lit(200)).alias("tail"))
+    )
+    usual = scanned.join(inside.filter("NOT inside"), ["file_name", "chunk"], "left_semi")
+    settled = usual.select(*again.columns).unionByName(again)
+
+    # A bracket that opens a chunk is of the kind that the text before the chunk says.
+    before = F.last("ends", ignorenulls=True).over(_before())
+    first = F.regexp_extract("codes", r"^(\.*)(.)", 2)
+    lead = F.regexp_extract("codes", r"^(\.*)(.)", 1)
+    blank = F.coalesce(F.get("segments", F.length(lead) - 1).rlike(r"\S"), F.lit(False))
+    small = settled.select(
+        "file_name", "chunk", "codes", F.when(F.col("ends").isNotNull(), F.col("ends")).alias("ends"),
+        (first.isin("e", "E", "x", "A", "N", "y") & ~blank).alias("_opens"), "tail",
+    ).withColumn("_before", before)
+    rest_codes = F.substr("codes", F.lit(2) + F.length(lead))
+    turned = (
+        F.when(F.col("_before") == "member", F.translate(first, "eExANy", "onXabY"))
+        .when(F.col("_before") == "wanted", F.translate(first, "eExANy", "WnXMbY"))
+        .otherwise(first)
+    )
+    codes = F.when(F.col("_opens"), F.concat(lead, turned, rest_codes)).otherwise(F.col("codes"))
+    placed = small.select("file_name", "chunk", codes.alias("codes"), "tail")
+    stacks = stage(
+        json_chunk_stacks(placed.select("file_name", "chunk", _reduced("codes").alias("reduced")))
+    )
+
+    flagged = (
+        settled.select("file_name", "chunk", "segments")
+        .join(placed.select("file_name", "chunk", "codes"), ["file_name", "chunk"])
+        .join(stacks.filter("chunk IS NOT NULL"), ["file_name", "chunk"])
+        .withColumn("_flags", F.split(_flags("stack", "codes"), ""))
+    )
+
+    marked = f"""
+        array_join(transform(segments, (s, i) -> CASE get(_flags, i) WHEN 'i' THEN s WHEN 'o' THEN ''
+          WHEN 's' THEN '{_START}' || s WHEN 'z' THEN s || '{_END}'
+          WHEN 'S' THEN '{_START}' || s || '{_END}' ELSE '' END), '')
+    """
+    cut = flagged.select(
         "file_name",
         "chunk",
-        "_pos",
-        content,
-        "_step",
-        ((F.col("_depth") >= 3) | ends).alias("_in"),
-        ends.alias("_ends"),
-        F.when(F.col(content) == "{", 1).when(F.col(content) == "}", -1).otherwise(0).alias("_brace"),
-        F.sum(starts.cast("int")).over(so_far).alias("piece"),
-        F.last(named, ignorenulls=True).over(so_far).alias("_member"),
-    )
-    inside = F.col("_in")
-    pieces = placed.groupBy("file_name", "chunk", "piece").agg(
-        F.expr(f"listagg(if(_in, {content}, NULL), '') WITHIN GROUP (ORDER BY _pos)").alias(content),
-        F.max(F.col("_ends")).alias("closes"),
-        F.sum(F.when(F.col("_in"), F.col("_brace")).otherwise(0)).alias("net"),
-        F.sum("_step").alias("_brackets"),
-        # Of the piece itself, and of whatever follows its last element in the chunk.
-        F.max_by(F.col("_member"), F.when(inside, F.col("_pos"))).alias("_member"),
-        F.max_by(F.col("_member"), F.col("_pos")).alias("_after"),
-    )
-    pieces = stage(pieces)
-    last_named = F.max(
-        F.when(F.col("_after").isNotNull(), F.struct("chunk", "piece", F.col("_after").alias("is")))
-    )
-    member = (
-        pieces.groupBy("file_name", "chunk")
-        .agg(last_named.alias("_named"))
-        .select("file_name", "chunk", F.max("_named").over(_before())["is"].alias("_carried"))
-    )
-    ours = F.coalesce("_member", "_carried", F.lit(False))
-    wanted = pieces.join(member, ["file_name", "chunk"]).select(
+        F.posexplode(
+            F.split(F.expr(marked), _START, -1)
+        ).alias("piece", content),
+    ).filter(F.col(content) != "")
+    closes = F.col(content).endswith(_END)
+    pieces = cut.select(
         "file_name",
         "chunk",
         "piece",
-        "closes",
-        "net",
-        # Pieces of other members keep their place but carry no text.
-        F.when(ours, F.col(content)).alias(content),
+        closes.alias("closes"),
+        F.when(closes, F.substr(content, F.lit(1), F.length(content) - 1))
+        .otherwise(F.col(content))
+        .alias(content),
     )
-    records = join_pieces(wanted, content, stage).filter(F.col(content).isNotNull())
-    open_ = pieces.groupBy("file_name").agg(F.sum("_brackets").alias("_net")).filter("_net <> 0")
+    records = join_pieces(stage(pieces), content, stage)
+    open_ = stacks.filter("chunk IS NULL AND stack <> ''").select("file_name", "stack")
     # unless a piece of the file is set aside anyway
     open_ = open_.join(
         records.filter("NOT closed").select("file_name").distinct(), "file_name", "left_anti"
     )
+    tails = placed.groupBy("file_name").agg(F.max_by("tail", "chunk").alias("tail"))
+    said = F.concat(F.lit("brackets left open: "), F.translate("stack", "<(", "{["), F.lit(" after "), "tail")
     return records.unionByName(
-        open_.select(
+        open_.join(tails, "file_name").select(
             "file_name",
             F.lit(None).cast("bigint").alias("record_no"),
             F.lit(False).alias("closed"),
-            F.concat(F.lit("brackets left open: "), F.col("_net").cast("string")).alias(content),
+            said.alias(content),
         )
     )
 
@@ -482,10 +675,10 @@ def variant_members(v: Column | str, path: str) -> Column:
 
 
 def json_document_elements(
-    lines: DataFrame, content: str = "raw_content", keep_urls: bool = False
+    lines: DataFrame, content: str = "raw_content"
 ) -> tuple[DataFrame, DataFrame]:
     """As `json_elements`, from whole documents; for files that a task can hold."""
-    docs = rebuild_json(dedup_lines(lines, content), content, keep_urls).withColumn(
+    docs = rebuild_json(dedup_lines(lines, content), content).withColumn(
         "doc", F.try_parse_json(content)
     )
     parsed = docs.select(
@@ -499,7 +692,6 @@ def json_document_elements(
 def json_elements(
     lines: DataFrame,
     content: str = "raw_content",
-    keep_urls: bool = False,
     chunk_rows: int = CHUNK_ROWS,
     on_bad: str = "record",
     dedup: bool = True,
@@ -510,9 +702,7 @@ def json_elements(
     Lines that are known to be there once each need no `dedup`.
     """
     unique = dedup_lines(lines, content) if dedup else lines
-    records = cut_json_records(
-        unique, content, keep_urls=keep_urls, chunk_rows=chunk_rows, stage=stage
-    )
+    records = cut_json_records(unique, content, chunk_rows=chunk_rows, stage=stage)
     parsed = records.withColumn(
         "t", F.when(F.col("closed"), F.try_parse_json(content))
     ).select(

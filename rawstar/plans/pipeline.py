@@ -19,15 +19,14 @@ class PipelineOptions:
     """`strict` stops on bad numbers, dates, XML and JSON instead of setting them aside.
 
     `grain` is 'transaction' (one item per transaction) or 'line'. `unique_key` keeps one inferred
-    customer per id. `keep_urls` spares '://' from comment removal. `append` adds to the snapshot
-    of a batch instead of replacing it. `quarantine` also stores what was set aside. `on_bad` says
-    whether text that does not parse spoils its 'record' or its whole 'document'.
+    customer per id. `append` adds to the snapshot of a batch instead of replacing it. `quarantine`
+    also stores what was set aside. `on_bad` says whether text that does not parse spoils its 'record'
+    or its whole 'document'.
     """
 
     strict: bool = False
     grain: str = "transaction"
     unique_key: bool = False
-    keep_urls: bool = False
     append: bool = False
     quarantine: bool = True
     only_new: bool = True
@@ -44,7 +43,6 @@ def build_transactions(
     )
     json, bad_json = json_elements(
         lake.raw_lines("json"),
-        keep_urls=options.keep_urls,
         on_bad=options.on_bad,
         dedup=False,  # raw_lines gives each line of a file once
         stage=stage,

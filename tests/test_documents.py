@@ -1,6 +1,9 @@
 import random
+import time
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rawstar.operators import documents as d
@@ -71,34 +74,75 @@ JSON_FAULTS = {
     "bad literal": (['{"id": 1},', '{"id": nope},', '{"id": 3}', "]}"], [1, 3], 1),
     "truncated in a record": (['{"id": 1},', '{"id": 2, "x": {"y'], [1], 1),
     "truncated between records": (['{"id": 1},', '{"id": 2}'], [1, 2], 1),
-    "no end of a record": (['{"id": 1},', '{"id": 2, "x": {"y": 2},', '{"id": 3}', "]}"], [1], 1),
+    "no end of a record": (['{"id": 1},', '{"id": 2, "x": {"y": 2},', '{"id": 3}', "]}"], [1, 3], 1),
+    "no end, same line": (['{"id": 1}, {"id": 2, "x": {"y": 2}, {"id": 3},{"id": 4}', "]}"], [1, 3, 4], 1),
+    "two ends missing": (['{"id": 1},', '{"id": 2, "x": {"y": 2,', '{"id": 3}', "]}"], [1, 3], 1),
+    "last has no end": (['{"id": 1},', '{"id": 2, "x": {"y": 2}', "]}"], [1], 1),
+    "open array": (['{"id": 1},', '{"id": 2, "x": [{"y": 2}},', '{"id": 3}', "]}"], [1, 3], 1),
+    "open object in an array": (['{"id": 2, "x": [{"y": 2, {"y": 3}]},', '{"id": 3}', "]}"], [3], 1),
+    "one end too many": (['{"id": 1}},', '{"id": 2},', '{"id": 3}', "]}"], [1, 2, 3], 0),
+    "wrong kind": (['{"id": 1},', '{"id": 2, "x": {"y": 2]},', '{"id": 3}', "]}"], [1], 1),
+    "brackets in strings": (['{"id": 1, "s": "}]{["},', '{"id": 2, "s": "\\"}"}', "]}"], [1, 2], 0),
+    "comment marks in strings": (
+        ['{"id": 1, "u": "http://x.y/a"}, // b', '{"id": 2, "s": "/* "}, /* {', '*/ {"id": 3, "s": " */"}', "]}"],
+        [1, 2, 3], 0,
+    ),
+    "value on the next line": (['{"id": 1, "o":', "", '{"a":', '[1]}}', ',{"id":', "2}]", "}"], [1, 2], 0),
     "deep": (['{"id": 1, "a": [[[[[[{"b": [7]}]]]]]]},', '{"id": 2}', "]}"], [1, 2], 0),
 }
 
 
-@pytest.mark.parametrize("name", XML_FAULTS)
-def test_xml_faults_are_set_aside(lines, name):
-    content, ids, faults = XML_FAULTS[name]
-    for rows in (1, 2, 100):
-        good, bad = d.xml_elements(lines(["<SalesData>", *content, "</SalesData>"]), chunk_rows=rows)
-        assert texts(good.select("*", "t.TransactionID"), "TransactionID") == [(i,) for i in ids], rows
-        assert (bad.count() > 0) == (faults > 0), rows
-        good, _ = d.xml_elements(lines(content), chunk_rows=rows, on_bad="document")
-        assert good.count() == (0 if faults else len(ids)), rows
-
-
-@pytest.mark.parametrize("name", JSON_FAULTS)
-def test_json_faults_are_set_aside(lines, name):
-    content, ids, faults = JSON_FAULTS[name]
-    for rows in (1, 2, 100):
-        df = lines(['{"transactions": [', *content])
-        good, bad = d.json_elements(df, chunk_rows=rows, dedup=False)
-        got = good.withColumn("id", F.try_variant_get("t", "$.id", "int"))
-        assert texts(got, "id") == [(i,) for i in ids], rows
-        assert (bad.count() > 0) == (faults > 0), rows
-        assert bad.filter("length(content) > 200").count() == 0
+def faulty_files(lines, faults, head, tail):
+    """One file per case, all in one relation."""
+    files = [lines([*head, *content, *tail], file_name=name) for name, (content, _, _) in faults.items()]
+    return reduce(DataFrame.unionByName, files)
+
+
+def per_file(df, column):
+    found = {}
+    for r in df.orderBy("file_name", "record_no").collect():
+        found.setdefault(r["file_name"], []).append(r[column])
+    return found
+
+
+@pytest.mark.parametrize("rows", [1, 2, 100])
+def test_xml_faults_are_set_aside(lines, rows):
+    df = faulty_files(lines, XML_FAULTS, ["<SalesData>"], ["</SalesData>"])
+    good, bad = d.xml_elements(df, chunk_rows=rows)
+    ids, faults = per_file(good.select("*", "t.TransactionID"), "TransactionID"), per_file(bad, "content")
+    for name, (_, want, n) in XML_FAULTS.items():
+        assert ids.get(name, []) == want, name
+        assert (name in faults) == (n > 0), name
+    good, _ = d.xml_elements(df, chunk_rows=rows, on_bad="document")
+    assert set(per_file(good, "record_no")) == {k for k, (_, _, n) in XML_FAULTS.items() if n == 0}
+
+
+@pytest.mark.parametrize("rows", [1, 2, 100])
+def test_json_faults_are_set_aside(lines, rows):
+    df = faulty_files(lines, JSON_FAULTS, ['{"transactions": ['], [])
+    good, bad = d.json_elements(df, chunk_rows=rows, dedup=False)
+    ids = per_file(good.withColumn("id", F.try_variant_get("t", "$.id", "int")), "id")
+    faults = per_file(bad, "content")
+    for name, (_, want, n) in JSON_FAULTS.items():
+        assert ids.get(name, []) == want, name
+        assert (name in faults) == (n > 0), name
+    assert max(len(x) for all_ in faults.values() for x in all_) < 250
+    if rows == 2:
         good, _ = d.json_elements(df, chunk_rows=rows, dedup=False, on_bad="document")
-        assert good.count() == (0 if faults else len(ids)), rows
+        assert set(per_file(good, "record_no")) == {k for k, (_, _, n) in JSON_FAULTS.items() if n == 0}
+
+
+@pytest.mark.parametrize("rows", [1, 2, 100])
+def test_one_bad_record_of_fifty(lines, rows):
+    records = [f'{{"id": {i}, "order": {{"id": "O{i}"}}, "items": [{{"q": 1}}, {{"q": 2}}]}}' for i in range(1, 51)]
+    records[1] = records[1][:-1]
+    df = lines(['{"transactions": [', *[r + "," for r in records[:-1]], records[-1], "]}"])
+    good, bad = d.json_elements(df, chunk_rows=rows, dedup=False)
+    numbered = good.select("record_no", F.try_variant_get("t", "$.id", "int").alias("id"))
+    assert [tuple(r) for r in numbered.orderBy("record_no").collect()] == [
+        (i, i) for i in range(1, 51) if i != 2
+    ]
+    assert {r["record_no"] for r in bad.collect()} == {2}
 
 
 def test_json_records_across_chunks(lines):
@@ -187,10 +231,10 @@ def test_json_documents(lines):
     ok = ["----- x", '{"transactions": {"a": {"id": 1}}}; // tail', ""]
     elements, bad = run(ok)
     assert elements.count() == 1 and bad.count() == 0
-    elements, bad = run(['{"transactions": [{"id": "http://x"}]}', ""])
-    assert elements.count() == 0 and bad.count() == 1
-    elements, bad = run(['{"transactions": [{"id": "http://x"}]}', ""], keep_urls=True)
+    elements, bad = run(['{"transactions": [{"id": "http://x"}]} // y', ""])
     assert elements.count() == 1 and bad.count() == 0
+    elements, bad = run(['{"refunds": {"x": {"id": 1}}, "transactions":', '{"a": {"id": 2}, "b": {}}}'], chunk_rows=1)
+    assert elements.count() == 2 and bad.count() == 0
 
 
 def test_empty_elements(lines):
@@ -204,3 +248,20 @@ def test_empty_elements(lines):
     assert [(r["quantity"], r["currency"], r["payment_amount"]) for r in got] == [
         (0.0, "EUR", 0.0), (None, None, 0.0),
     ]
+
+
+@pytest.mark.parametrize("kind", ["xml", "json"])
+def test_text_without_marks_takes_linear_time(lines, kind):
+    def seconds(n):
+        start = time.perf_counter()
+        if kind == "xml":
+            body = ["<Transaction><TransactionID>1</TransactionID></Transaction>", "x" * n]
+            cut = d.cut_xml_records(lines(body), chunk_rows=10)
+        else:
+            cut = d.cut_json_records(lines(['{"transactions": [', '{"id": "' + "x" * n + '"}]}']), chunk_rows=10)
+        assert cut.count() == 1
+        return time.perf_counter() - start
+
+    seconds(10)
+    short, long = min(seconds(100_000) for _ in range(2)), min(seconds(1_000_000) for _ in range(2))
+    assert long < 4 * short + 1  # most of either is starting jobs
