@@ -104,7 +104,9 @@ def strip_dashed(c: Column | str) -> Column:
 
 def strip_root(c: Column | str, root: str) -> Column:
     """Remove opening and closing root tags, attributes included."""
-    return F.regexp_replace(_col(c), rf"</?{re.escape(root)}[^>]*>", "")
+    text = _col(c)
+    tag = rf"</?{re.escape(root)}[^>]*>"
+    return F.when(text.contains(root), F.regexp_replace(text, tag, "")).otherwise(text)
 
 
 def wrap_root(c: Column | str, root: str) -> Column:

@@ -41,6 +41,9 @@ XML_RECORD_DDL = f"{XML_TRANSACTION_DDL}, _corrupt string"
 _OPENING = r"<[^!?/>][^>]*+(?<!/)>"
 XML_TOP_FIELDS = ("TransactionID", "Order", "Items", "Payment")
 
+#: Signs put into texts while they are cut. XML and JSON allow none of them; they are dropped from both.
+_START, _END, _STOP = "\x03", "\x04", "\x01"
+
 #: Writes a relation once and reads it back, where several steps read it.
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -245,6 +248,17 @@ def without_xml_comments(content: Column, inside: Column) -> Column:
     return F.regexp_replace(rest, r"(?s)<!--.*?(?:-->|\z)", "")
 
 
+def _marked(content: str, tag: str) -> Column:
+    """The text with a sign before every opening `<tag>`, whatever follows the name."""
+    opening = f"<{tag}"
+    out = F.col(content)
+    out = F.when(out.contains(_START), F.replace(out, F.lit(_START), F.lit(""))).otherwise(out)
+    for after in (">", " ", "\t", "\r", "\n", "/"):
+        out = F.replace(out, F.lit(opening + after), F.lit(_START + opening + after))
+    cut = F.substr(out, F.lit(1), F.length(out) - len(opening))
+    return F.when(out.endswith(opening), F.concat(cut, F.lit(_START + opening))).otherwise(out)
+
+
 def cut_xml_records(
     lines: DataFrame,
     content: str = "raw_content",
@@ -268,22 +282,19 @@ def cut_xml_records(
         "chunk",
         without_xml_comments(F.concat("head", own), F.col("inside")).alias(content),
     ).filter(F.col(content).isNotNull())
-    start, end = rf"<{tag}(?:[\s>/]|$)", f"</{tag}>"
+    end = f"</{tag}>"
     spaced = F.when(
         F.col(content).contains(f"</{tag} "), F.regexp_replace(content, rf"</{tag}\s+>", end)
     ).otherwise(F.col(content))
     plain = plain.withColumn(content, spaced).withColumn(content, text.strip_root(content, root))
     cut = plain.select(
-        "file_name",
-        "chunk",
-        F.col(content).rlike("^" + start).cast("int").alias("_lead"),
-        F.posexplode(F.split(content, f"(?={start})", -1)).alias("_pos", content),
+        "file_name", "chunk", F.posexplode(F.split(_marked(content, tag), _START, -1)).alias("piece", content)
     )
     closes = F.col(content).contains(end)
     pieces = cut.select(
         "file_name",
         "chunk",
-        (F.col("_pos") + F.col("_lead")).alias("piece"),
+        "piece",
         closes.alias("closes"),
         F.when(closes, F.concat(F.substring_index(content, end, 1), F.lit(end)))
         .otherwise(F.col(content))
@@ -382,8 +393,6 @@ def rebuild_json(lines: DataFrame, content: str = "raw_content") -> DataFrame:
     return whole.select("file_name", text.strip_semicolons(doc).alias(content))
 
 
-# Marks put around segments; such control signs are not allowed in JSON and are dropped from it.
-_START, _END, _STOP = "\x03", "\x04", "\x01"
 #: Text that a chunk is given at its end. Outside comments it stays, inside one only _STOP does.
 _SENTINEL = "\n*/" + _STOP
 
@@ -399,12 +408,19 @@ _CODES = "..." "}}}" "]]]" "eoW" "Enn" "xXX" "AaM" "yYY" "Nbb"
 _REDUCE_ROUNDS = 8
 
 
-def _stripped(content: Column) -> tuple[Column, Column]:
-    """(text without comments, whether it ends in one) for text that starts outside comments."""
-    out = text.strip_json_comments(F.concat(content, F.lit(_SENTINEL)))
-    plain = out.endswith(_SENTINEL[1:])
-    keep = F.length(out) - F.when(plain, len(_SENTINEL)).otherwise(len(_STOP))
-    return F.substr(out, F.lit(1), keep), ~plain
+def _sentinel_kept(out: Column) -> Column:
+    """Whether a text with comments removed, sentinel included, ended outside comments."""
+    return out.endswith(_SENTINEL[1:])
+
+
+def _without_sentinel(out: Column) -> Column:
+    added = F.when(_sentinel_kept(out), len(_SENTINEL)).otherwise(len(_STOP))
+    return F.substr(out, F.lit(1), F.length(out) - added)
+
+
+def _stripped(content: Column) -> Column:
+    """Text without comments, for text that starts outside them; the sentinel says how it ended."""
+    return text.strip_json_comments(F.concat(content, F.lit(_SENTINEL)))
 
 
 # The rest is SQL text: lambdas in lambdas are built in one call that way.
@@ -566,13 +582,23 @@ def cut_json_records(
     )
 
     # One scan for the usual case of a chunk that starts outside comments. One that may start inside
-    # keeps what would then be left of it.
+    # keeps what would then be left of it. Where the first `*/` closes a comment of the chunk itself,
+    # both starts have the same end.
     closed_at = F.instr(content, "*/")
-    plain, in_comment = _stripped(F.col(content))
-    rest = F.when(closed_at > 0, F.substr(content, closed_at + F.lit(2)))
+    head = F.substr(content, F.lit(1), closed_at - 1)
+    own = ~_sentinel_kept(_stripped(head))
+    rest = F.substr(content, closed_at + F.lit(2))
     scanned = (
-        folded.select("file_name", "chunk", plain.alias("_plain"), in_comment.alias("from_plain"), rest.alias("rest"))
-        .withColumn("from_inside", F.coalesce(_stripped(F.col("rest"))[1], F.lit(True)))
+        folded.withColumn("_out", _stripped(F.col(content)))
+        .withColumn("from_plain", ~_sentinel_kept(F.col("_out")))
+        .withColumn("_plain", _without_sentinel(F.col("_out")))
+        .withColumn("rest", F.when(closed_at > 0, rest))
+        .withColumn(
+            "from_inside",
+            F.when(closed_at == 0, True)
+            .when(own, F.col("from_plain"))
+            .otherwise(~_sentinel_kept(_stripped(F.col("rest")))),
+        )
         .withColumn("segments", _segments("_plain"))
         .withColumn("codes", _codes("segments", key))
     )
@@ -590,7 +616,7 @@ def cut_json_records(
     inside = json_comment_states(scanned)
     again = (
         scanned.join(inside.filter("inside"), ["file_name", "chunk"])
-        .withColumn("_plain", F.coalesce(_stripped(F.col("rest"))[0], F.lit("")))
+        .withColumn("_plain", F.coalesce(_without_sentinel(_stripped(F.col("rest"))), F.lit("")))
         .withColumn("segments", _segments("_plain"))
         .withColumn("codes", _codes("segments", key))
         .select("file_name", "chunk", "segments", "codes", ends.alias("ends"), F.right("_plain", F.lit(200)).alias("tail"))
