@@ -55,12 +55,18 @@ def row_key(doc_id: Column, mark: Column) -> Column:
     return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("none")), mark.cast("string"))
 
 
+def free_names(df: DataFrame, n: int) -> list[str]:
+    """Names for n more columns that no column of `df` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    every = (f"_added_{i}" for i in range(n + len(taken)))
+    return [name for name in every if name not in taken][:n]
+
+
 def keep_keys(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
     """Rows of `docs` whose key is among `kept` (one column, `_key`), one row per key, all columns.
 
     One shuffle of the rows: they are joined and made unique by the same key.
     """
-    found = docs.withColumn("_row_key", key).join(
-        kept.select(F.col("_key").alias("_row_key")), "_row_key", "left_semi"
-    )
-    return found.dropDuplicates(["_row_key"]).select([F.col(f"`{c}`") for c in docs.columns])
+    (name,) = free_names(docs, 1)
+    found = docs.withColumn(name, key).join(kept.select(F.col("_key").alias(name)), name, "left_semi")
+    return found.dropDuplicates([name]).select([F.col(f"`{c}`") for c in docs.columns])

@@ -6,7 +6,11 @@ document should be copied target / source words times. The whole part of that is
 fractional part is rounded by the pivotal method in words: two documents with fractional copies are
 paired and words move from one to the other, in a direction drawn so that no expectation changes,
 until one of them is integral. The sum of words stays as it was, so a source ends within one
-document of its target.
+document of its target. The second of a pair may stand for a pool of documents, which then all change
+by the same fraction: a block goes from its longest document to its shortest and pairs each with the
+pool of those behind it while that can take the words, so the document left over is a short one. A
+document's copies are the whole number below or above its share; short ones may get one less or more
+where they make up for a long one, never under 0 or over `max_copies`.
 
 The pairing runs as a reduction tree: documents of a source are dealt to blocks of about `block`
 rows, each block leaves one fractional document at most, those are dealt to blocks again, and so on
@@ -30,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rawstar.llm.base import WORD, row_key, stage
+from rawstar.llm.base import WORD, free_names, row_key, stage
 
 BLOCK = 20_000
 MAX_COPIES = 3
@@ -68,10 +72,42 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPI
     return per.select("source", "source_size", "source_docs", target.cast("double").alias("target"))
 
 
-def _pivot_block(p: np.ndarray, size: np.ndarray, rng) -> None:
+def _pivot_pool(p: np.ndarray, size: np.ndarray, rng, least: float, most: float) -> int:
+    """Pairs documents, in order, with the pool of all that follow, as long as the pool can take it.
+
+    Words go from the document to the pool or back until the document is integral; all in the pool
+    gain or lose the same fraction, and stay between `least` and `most`. Returns how many documents
+    are done; sum of p * size is kept.
+    """
+    n = len(p)
+    after = np.append(np.cumsum(size[::-1])[::-1][1:], 0.0)  # words of the pool
+    low = np.append(np.minimum.accumulate(p[::-1])[::-1][1:], 0.0)
+    high = np.append(np.maximum.accumulate(p[::-1])[::-1][1:], 0.0)
+    draws, moved = rng.random(n), 0.0
+    for i in range(n - 1):
+        now = p[i] + moved
+        base = math.floor(now + EPS)
+        part = now - base
+        if part > EPS:
+            up, down = size[i] * (1 - part) / after[i], size[i] * part / after[i]
+            if low[i] + moved - up < least or high[i] + moved + down > most:
+                p[i:] += moved
+                return i
+            taken = draws[i] < part
+            p[i], moved = (base + 1, moved - up) if taken else (base, moved + down)
+        else:
+            p[i] = base
+    p[n - 1 :] += moved
+    return n - 1
+
+
+def _pivot_block(p: np.ndarray, size: np.ndarray, rng, least: float = 0, most: float = 1) -> None:
     """Rounds `p` in place until one fraction at most is left; sum of p * size is kept."""
+    first = _pivot_pool(p, size, rng, least, most)
+    whole = np.floor(p + EPS)
+    p -= whole
     at = -1  # the document that is still fractional
-    for i in range(len(p)):
+    for i in range(first, len(p)):
         if p[i] <= EPS or p[i] >= 1 - EPS:
             p[i] = round(p[i])
             continue
@@ -92,26 +128,29 @@ def _pivot_block(p: np.ndarray, size: np.ndarray, rng) -> None:
             if k not in rest:
                 p[k] = round(p[k])
         at = rest[0] if rest else -1
+    p += whole
 
 
 def _round_level(seed: int, level: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        # from the longest document on, so that what stays fractional to the end is short
+        # Long documents come first: the pool of all shorter ones takes up what rounding them leaves,
+        # so that what stays fractional to the end is short.
         rows = rows.sort_values(["size", "mark", "doc_id", "row"], ascending=[False, True, True, True])
         draw = np.random.default_rng([seed, level, int(rows["mark"].iloc[0]) & (2**63 - 1)])
         p, size = rows["p"].to_numpy(copy=True), rows["size"].to_numpy(dtype=float)
-        _pivot_block(p, size, draw)
+        _pivot_block(p, size, draw, rows["least"].iloc[0], rows["most"].iloc[0])
         return rows.drop(columns=["blocks", "b"]).assign(p=p)
 
     return run
 
 
 def pivotal_round(rows: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """`rows` has source, doc_id, row, size > 0, p; returns it with p rounded to 0 or 1.
+    """`rows` has source, doc_id, row, size > 0, p, least and most; returns it with p integral.
 
-    `row` tells rows of one id apart.
+    `row` tells rows of one id apart. p ends between `least` and `most`, which a source has in common:
+    0 or 1, or the next number where short documents make up for a long one.
     """
-    ddl = rows.select("source", "doc_id", "row", "size", "p", "mark").schema
+    ddl = rows.select("source", "doc_id", "row", "size", "p", "least", "most", "mark").schema
     done, level = [], 0
     while True:
         counts = rows.groupBy("source").agg(F.count("*").alias("n"))
@@ -126,18 +165,19 @@ def pivotal_round(rows: DataFrame, block: int = BLOCK, seed: int = SEED) -> Data
             dealt.groupBy("source", "b").applyInPandas(_round_level(seed, level), ddl),
             f"mix-level{level}",
         )
-        done.append(out.filter("p = 0 or p = 1"))
-        left = out.filter("p > 0 and p < 1")
+        done.append(out.filter("p = floor(p)"))
+        left = out.filter("p <> floor(p)")
         if left.groupBy("source").count().filter("count > 1").isEmpty():
             draw = F.pmod(F.xxhash64(F.lit(seed + 1), "source", "doc_id", "row"), F.lit(1 << 30))
-            last = F.when(draw / F.lit(float(1 << 30)) < F.col("p"), 1.0).otherwise(0.0)
+            part = F.col("p") - F.floor("p")
+            last = F.floor("p") + F.when(draw / F.lit(float(1 << 30)) < part, 1.0).otherwise(0.0)
             done.append(left.withColumn("p", last))
             break
         rows, level = left, level + 1
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out.drop("mark")
+    return out.drop("mark", "least", "most")
 
 
 def word_sizes(docs: DataFrame) -> DataFrame:
@@ -175,7 +215,16 @@ def mix(
     part = F.col("p") > EPS
     split = rows.filter(part & (F.col("size") > 0))
     same = rows.filter(~(part & (F.col("size") > 0)))
-    marked = split.select("source", "doc_id", "row", "size", "p").withColumn("mark", F.lit(0).cast("long"))
+    marked = split.select(
+        "source",
+        "doc_id",
+        "row",
+        "size",
+        "p",
+        F.greatest(-F.col("whole"), F.lit(-1)).cast("double").alias("least"),
+        F.least(F.lit(max_copies) - F.col("whole"), F.lit(2)).cast("double").alias("most"),
+        F.lit(0).cast("long").alias("mark"),
+    )
     rounded = pivotal_round(marked, block, seed)
     scale = rows.select("source", "source_size", "target", "whole").distinct()
     got = rounded.join(
@@ -195,13 +244,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     found = mix(docs, **options)
     times = F.when(F.max("size") == 0, F.lit(1)).otherwise(F.sum("copies")).cast("int")
-    copies = found.groupBy(row_key(F.col("doc_id"), F.col("row")).alias("_key")).agg(
-        times.alias("_times")
-    )
+    key, n, each = free_names(docs, 3)
+    copies = found.groupBy(row_key(F.col("doc_id"), F.col("row")).alias(key)).agg(times.alias(n))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    key = row_key(F.col("doc_id").cast("long"), F.xxhash64(text))
-    joined = docs.withColumn("_key", key).join(copies.filter("_times > 0"), "_key")
-    repeated = joined.dropDuplicates(["_key"]).withColumn(
-        "_n", F.explode(F.array_repeat(F.lit(1), F.col("_times")))
+    own = row_key(F.col("doc_id").cast("long"), F.xxhash64(text))
+    joined = docs.withColumn(key, own).join(copies.filter(F.col(n) > 0), key)
+    repeated = joined.dropDuplicates([key]).withColumn(
+        each, F.explode(F.array_repeat(F.lit(1), F.col(n)))
     )
     return repeated.select([F.col(f"`{c}`") for c in docs.columns])
