@@ -19,5 +19,5 @@ def test_query(spark, name):
         assert df.count() == want
 
 
-def test_ten_operators():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+def test_all_operators():
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
