@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rawstar.functions import text
-from rawstar.schemas import CsvSource
+from rawstar.schemas import CSV_SOURCES, CsvSource
 
 
 def route(
@@ -23,6 +23,14 @@ def route(
     return df
 
 
+def prune(df: DataFrame, source: CsvSource) -> DataFrame:
+    """Only the partitions that may hold lines of a known source, where lines are stored by route."""
+    name = next((k for k, s in CSV_SOURCES.items() if s is source), None)
+    if name is None or "route" not in df.columns:
+        return df
+    return df.filter(F.col("route").contains(f".{name}."))
+
+
 def drop_sentinels(
     df: DataFrame,
     raw: str = "raw_content",
@@ -100,7 +108,7 @@ def quoted_map(
 def read_source(lines: DataFrame, source: CsvSource, quoted: bool = False) -> DataFrame:
     """Rows of one CSV source: route, drop envelope and header lines, name the cells."""
     kept = drop_sentinels(
-        route(lines, source.file_name, source.pattern),
+        route(prune(lines, source), source.file_name, source.pattern),
         prefixes=source.sentinels,
         header_rows=source.header_rows,
     ).select("file_name", "file_row_number", "raw_content")

@@ -687,7 +687,10 @@ def infer_missing_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _known_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per order, in two parts for status O; none for status F."""
-    orders = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'")
+    return _payments(table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'"))
+
+
+def _payments(orders: DataFrame) -> DataFrame:
     parts = F.when(r.status("O"), F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))
     return orders.select(
         "o_orderkey", "o_totalprice", "o_orderpriority", F.explode(parts).alias("part")
@@ -821,7 +824,9 @@ def referential_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH paid AS (SELECT order_id, sum(amount) AS amount FROM (""" + _KNOWN_PAYMENTS + """) GROUP BY 1)
+WITH paid AS (SELECT order_id, sum(amount) AS amount FROM ("""
++ _KNOWN_PAYMENTS.replace("o_orderstatus <> 'F' AND ", "")
++ """) GROUP BY 1)
 SELECT 'ORD-' || o_orderkey AS order_id, 'C' || o_custkey AS customer_id,
   CAST(o_orderdate AS DATE) AS order_date, 'NO_TRANSACTION' AS gap_type,
   round(coalesce(sum(paid.amount), 0), 2) AS payment_amount
@@ -838,7 +843,8 @@ def order_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         cat("ORD-", txt("l_orderkey")).alias("order_id")
     )
-    return _rounded(gold.order_gaps(orders, lines, _known_payments(spark, sf_dir)), "payment_amount")
+    paid = _payments(table(spark, sf_dir, "orders"))
+    return _rounded(gold.order_gaps(orders, lines, paid), "payment_amount")
 
 
 @query(f"""

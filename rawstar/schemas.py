@@ -12,11 +12,17 @@ UNKNOWN = "UNKNOWN"
 
 # --- Bronze -----------------------------------------------------------------------------------
 
-# As written by ingest: `split_start` and `line_id` place a line exactly inside its file, and the
-# 1-based file_row_number is derived from them on read (see sources/raw_lines.py).
-RAW_LINE_DDL = (
+# As scanned: `split_start` and `line_id` place a line exactly inside its file (see
+# sources/raw_lines.py). Kept until the lines of the batch are numbered.
+SCANNED_DDL = (
     "raw_content string, file_name string, source_name string, "
-    "split_start bigint, line_id bigint, load_dt timestamp_ntz"
+    "split_start bigint, line_id bigint, load_dt timestamp_ntz, file_path string, file_size bigint, "
+    "modification_time timestamp_ntz"
+)
+# As stored, partitioned by batch and by `route`: which CSV sources a file may belong to.
+RAW_LINE_DDL = (
+    "raw_content string, file_name string, source_name string, file_row_number bigint, "
+    "chunk bigint, file_bytes bigint, load_dt timestamp_ntz"
 )
 
 SPLIT_DDL = (
@@ -176,3 +182,13 @@ PAYMENTS = CsvSource(
     _ordered("payment_id", "order_id", "payment_method", "amount", "currency", "status"),
     pattern="%payments.csv%",
 )
+
+CSV_SOURCES = {
+    "customers_a": CUSTOMERS_A,
+    "customers_b": CUSTOMERS_B,
+    "products": PRODUCTS,
+    "orders": ORDERS,
+    "payments": PAYMENTS,
+}
+#: Route of lines that no CSV source claims.
+NO_ROUTE = "none"

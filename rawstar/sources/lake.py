@@ -11,10 +11,11 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rawstar import schemas
-from rawstar.sources.raw_lines import newest_per_file, number_lines, summarise_splits
+from rawstar.sources.raw_lines import number_lines, replaced_loads, route_of, summarise_splits
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -50,10 +51,13 @@ class Lake:
             return
         for layer in LAYERS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database_prefix}_{layer}")
+        raw = schemas.RAW_TABLES.values()
         for (layer, table), ddl in self.table_schemas().items():
+            by = "batch_id string, route string" if table in raw else "batch_id string"
+            names = by.replace(" string", "")
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.database_prefix}_{layer}.{table} "
-                f"({ddl}, batch_id string) USING parquet PARTITIONED BY (batch_id) "
+                f"({ddl}, {by}) USING parquet PARTITIONED BY ({names}) "
                 f"LOCATION '{self.path(layer, table)}'"
             )
         columns = []
@@ -113,7 +117,12 @@ class Lake:
     def truncate(self, layer: str, table: str, batch_id: str) -> None:
         """Empty the snapshot of one batch."""
         ddl = self.table_schemas()[(layer, table)]
-        self.write(self.spark.createDataFrame([], ddl), layer, table, batch_id)
+        none = self.spark.createDataFrame([], ddl)
+        if table in schemas.RAW_TABLES.values():
+            none = none.withColumn("route", F.lit(schemas.NO_ROUTE))
+            self._write_routed(none, table, batch_id)
+        else:
+            self.write(none, layer, table, batch_id)
 
     def create_views(self, batch_id: str) -> None:
         """Temp views `silver_<table>` and `gold_<table>` over one batch."""
@@ -124,19 +133,42 @@ class Lake:
 
     # --- bronze ---
 
-    def write_raw(self, lines: DataFrame, kind: str, batch_id: str) -> None:
-        """Store scanned lines, then one summary row per split of each file."""
-        table = schemas.RAW_TABLES[kind]
-        self.write(lines, "bronze", table, batch_id)
-        stored = self.read("bronze", table, schemas.RAW_LINE_DDL, batch_id)
+    def _write_routed(self, lines: DataFrame, table: str, batch_id: str) -> None:
+        path = f"{self.path('bronze', table)}/batch_id={batch_id}"
+        lines.write.mode("overwrite").partitionBy("route").parquet(path)
+
+    def write_raw(self, lines: DataFrame, kind: str, batch_id: str) -> DataFrame:
+        """Keep scanned lines, one summary row per split of each file, then the numbered lines.
+
+        Only CSV lines have routes; the others lie in one. Returns path, size and time of the files
+        that lines came from, as they were when they were read.
+        """
+        table, scanned = schemas.RAW_TABLES[kind], f"_scanned_{kind}"
+        self.write(lines, "bronze", scanned, batch_id)
+        stored = self.read("bronze", scanned, schemas.SCANNED_DDL, batch_id)
         self.write(summarise_splits(stored), "bronze", f"{table}_splits", batch_id)
+        splits = self.read("bronze", f"{table}_splits", schemas.SPLIT_DDL, batch_id)
+        numbered = number_lines(stored, splits)
+        if kind == "csv":
+            self._write_routed(numbered.withColumn("route", route_of("source_name")), table, batch_id)
+        else:
+            # straight into the folder of the one route: no sort by it
+            path = f"{self.path('bronze', table)}/batch_id={batch_id}/route={schemas.NO_ROUTE}"
+            numbered.write.mode("overwrite").parquet(path)
+        return stored.select("file_path", "file_size", "modification_time").distinct()
+
+    def drop_scanned(self, kind: str, batch_id: str) -> None:
+        """Empty what `write_raw` has kept of the scan."""
+        none = self.spark.createDataFrame([], schemas.SCANNED_DDL)
+        self.write(none, "bronze", f"_scanned_{kind}", batch_id)
 
     def raw_lines(self, kind: str) -> DataFrame:
         """Numbered lines of all batches; of a file loaded twice, only the newest copy."""
         table = schemas.RAW_TABLES[kind]
-        stored = self.read("bronze", table, schemas.RAW_LINE_DDL)
-        splits = self.read("bronze", f"{table}_splits", schemas.SPLIT_DDL)
-        return number_lines(stored, newest_per_file(splits))
+        stored = self.read("bronze", table, f"{schemas.RAW_LINE_DDL}, route string")
+        old = replaced_loads(self.raw_splits(kind))
+        # Mostly there are none, and then the lines need no join.
+        return stored if old.isEmpty() else stored.join(old, ["file_name", "batch_id"], "left_anti")
 
     def raw_splits(self, kind: str) -> DataFrame:
         return self.read("bronze", f"{schemas.RAW_TABLES[kind]}_splits", schemas.SPLIT_DDL)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rawstar import schemas
 from rawstar.functions import text
+from rawstar.plans.control import BatchControl
+from rawstar.sources.ingest import LEDGER
 from rawstar.sources.lake import Lake
-from rawstar.sources.raw_lines import landing_path, landing_root, raw_columns
+from rawstar.sources.raw_lines import landing_path, landing_root, line_columns, raw_columns
 
 
 def ingest_available(
@@ -20,8 +21,10 @@ def ingest_available(
 ) -> None:
     """Load every landing file the stream has not seen yet, then stop.
 
-    Each micro-batch becomes a Bronze batch named after its epoch. It overwrites only its own
-    partition, so an epoch that is run again after a failure leaves the same lines.
+    Each micro-batch becomes a Bronze batch named after its kind and epoch, with its own row in the
+    control table (state INGESTED) and its files in the ledger, so that a later `run_pipeline` builds
+    from its lines and loads none of them again. All of that is written under the batch's id and the
+    ledger last, so an epoch that is run again after a failure leaves the same.
     """
     root = landing_root(lake.spark, landing)
     reader = lake.spark.readStream.option("recursiveFileLookup", True)
@@ -30,16 +33,17 @@ def ingest_available(
     lines = (
         reader.text(root, lineSep="\n")
         .filter(text.relative_name(landing_path(), root).rlike(schemas.FILE_PATTERNS[kind]))
-        .select(
-            "value",
-            landing_path().alias("path"),
-            F.col("_metadata.file_block_start").alias("split_start"),
-        )
+        .select(*line_columns())
     )
+    control = BatchControl(lake)
 
     def store(batch: DataFrame, epoch: int) -> None:
-        batch_id = f"{prefix}_{epoch:012d}"
-        lake.write_raw(raw_columns(batch, root, right_trim=kind == "csv"), kind, batch_id)
+        batch_id = f"{prefix}_{kind.upper()}_{epoch:012d}"
+        control.start(batch_id)
+        files = lake.write_raw(raw_columns(batch, root, right_trim=kind == "csv"), kind, batch_id)
+        control.record_counts(batch_id)
+        lake.write(files, "bronze", LEDGER, batch_id)
+        lake.drop_scanned(kind, batch_id)
 
     stream = (
         lines.writeStream.foreachBatch(store)

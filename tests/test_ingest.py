@@ -3,7 +3,10 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
+from rawstar import schemas
+from rawstar.operators import cells
 from rawstar.plans.control import BatchControl, EmptyBatchError, NoRunningBatchError
+from rawstar.plans.pipeline import run_pipeline
 from rawstar.sources.ingest import ingest, loaded_files, new_files
 from rawstar.sources.lake import Lake
 from rawstar.sources.raw_lines import list_landing
@@ -144,3 +147,51 @@ def test_batch_life_cycle(spark, tmp_path):
     assert control.events().filter(F.col("batch_id") == second).count() == 3
     with pytest.raises(NoRunningBatchError):
         control.end("nope")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_read_without_a_shuffle(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    (landing / "orders.csv").write_text("----- START OF FILE: x\nh\n1,c,2024-01-01,OPEN,web")
+    (landing / "order_payments.csv").write_text("----- START OF FILE: x\nh\np1,1,card,5,USD,PAID")
+    (landing / "notes.csv").write_text("n")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest(lake, str(landing), "BATCH_1")
+    lines = lake.raw_lines("csv")
+    assert "Exchange" not in plan_of(lines) and "Join" not in plan_of(lines)
+    routes = {r["file_name"]: r["route"] for r in lines.select("file_name", "route").collect()}
+    assert routes == {
+        "orders.csv": ".orders.", "order_payments.csv": ".orders.payments.", "notes.csv": "none",
+    }
+    paid = cells.read_source(lines, schemas.PAYMENTS)
+    assert "PartitionFilters: [isnotnull(route" in plan_of(paid)
+    assert [r["payment_id"] for r in paid.collect()] == ["p1"]
+    assert {r["order_id"] for r in cells.read_source(lines, schemas.ORDERS).collect()} == {"1", "p1"}
+    assert spark.read.parquet(lake.path("bronze", "_scanned_csv")).count() == 0
+    # a file that has changed: the older copy is left out
+    (landing / "notes.csv").write_text("n1\nn2")
+    ingest(lake, str(landing), "BATCH_2")
+    assert len([r for r in numbered(lake) if r[0] == "notes.csv"]) == 2
+    lake.truncate("bronze", "csv_raw_content", "BATCH_2")
+    assert [r[0] for r in numbered(lake)].count("notes.csv") == 0
+
+
+def test_pipeline_after_a_stream_loads_nothing_again(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    (landing / "orders.csv").write_text("----- START OF FILE: x\nh\n1,c,2024-01-01,OPEN,web")
+    (landing / "a.json").write_text('{"transactions": []}')
+    lake = Lake(spark, str(tmp_path / "lake"))
+    for kind in ("csv", "json"):
+        ingest_available(lake, str(landing), kind)
+    batch = run_pipeline(spark, str(landing), lake.root)
+    state = {r["batch_id"]: (r["status"], r["total_rows"]) for r in BatchControl(lake).state().collect()}
+    assert sorted(state.values()) == [("INGESTED", 1), ("INGESTED", 3), ("SUCCESS", 0)]
+    assert state[batch] == ("SUCCESS", 0)
+    assert lake.silver("dim_order", batch).filter("order_id = '1'").count() == 1
+    with pytest.raises(EmptyBatchError):
+        run_pipeline(spark, str(landing), lake.root)
