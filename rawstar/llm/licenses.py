@@ -1,22 +1,22 @@
 """License scan: exact set-similarity join between text blocks and license templates.
 
-A block is a line of a text; a line longer than `WINDOW` words is cut into windows of that length
-that overlap by half, so a passage of half a window's length lies whole in one of them. A template
-is found in a block when the block holds at least `THRESHOLD` of the template's distinct words
-(containment). The join is the filtered one: the words of all templates are ordered by how often
+A block is a window of `WINDOW` words of the whole text; line ends are no borders. Windows overlap by
+half, so a passage of half a window's length lies whole in one of them. A template is found in a block
+when the block holds at least `THRESHOLD` of the template's distinct words (containment). The join is the filtered one: the words of all templates are ordered by how often
 they occur in the whole corpus, rarest first;
 
 - prefix: a template of n words that must share k of them shares one of its n - k + 1 rarest;
 - length: a block with fewer than k distinct words cannot qualify;
 - position: after a shared word at place i of the template's order at most n - i - 1 more follow.
 
-What passes is counted in full, and must also hold what names the license (`MARKS`).
+What passes is counted in full. `block_labels` has all labels that reach the threshold, `labels` those
+of them whose block also holds what names the license (`MARKS`), with the base labels.
 
 The templates are a fixed table, so the counted words and the lookup have a fixed size and travel with the task; the blocks never leave theirs. There is no shuffle but
 that of the word counts, one row per template word and task.
 
 Besides, fixed phrases are looked up word by word (the base). Their labels stay whatever the join
-finds.
+finds. Only the words of one text are held at a time, whatever its length.
 
 Results for odd input: a null text is empty; a text without words has no labels, null positions and
 score 0. Rows with equal ids are scanned each. An empty table gives an empty result.
@@ -50,12 +50,15 @@ TEMPLATES = {
     "mit": [
         "released under the mit license",
         "licensed under the mit license",
+        "mit license",
+        "spdx license identifier mit",
         "permission is hereby granted free of charge to any person obtaining a copy of this "
         "software and associated documentation files the software to deal in the software "
         "without restriction",
     ],
     "apache-2": [
         "licensed under the apache license version 2 0",
+        "apache 2 0",
         "you may not use this file except in compliance with the license you may obtain a copy "
         "of the license at http www apache org licenses license 2 0",
     ],
@@ -86,7 +89,7 @@ TEMPLATES = {
 # has the text). A template matches only a block that holds its name as well, as `THRESHOLD` of a
 # short sentence is also reached without it. Patterns read the words of a block, one space around
 # each. A version may stand after the name or before it.
-_MIT = r" (?:the|under|or|and) mit | mit (?:\S+ ){0,2}?licen[cs]es? "
+_MIT = r" (?:under(?: the)?|or|and) mit | mit (?:\S+ ){0,2}?licen[cs]es? "
 _APACHE = r" apache (?:\S+ ){0,4}?v?2 | v?2 (?:0 )?(?:\S+ ){0,3}?apache "
 _GNU = (
     r" {0} public license (?:(?!gnu )\S+ ){{0,24}}?(?:(?:version|v|license|or|and) 3|v3) "
@@ -94,8 +97,8 @@ _GNU = (
 )
 _GPL = _GNU.format("gnu general")
 MARKS = {
-    "mit": [_MIT, _MIT, None],
-    "apache-2": [_APACHE, _APACHE],
+    "mit": [_MIT, _MIT, r" mit licen[cs]es? ", " spdx license identifier mit ", None],
+    "apache-2": [_APACHE, r" apache (?:licen[cs]e )?v?2 0 ", _APACHE],
     "cc-by-nc": [" by nc | attribution non ?commercial "] * 2,
     "cc-by-sa": [" by sa | attribution share ?alike "] * 2,
     "gpl-3": [_GPL, _GPL, _GPL],
@@ -162,10 +165,13 @@ class TemplateJoin:
                 self.found_in.setdefault(w, []).append((k, place))
         self.prefix = frozenset(self.found_in)
 
-    def block(self, words: list[bytes]) -> dict[str, float]:
-        """label -> best containment among its templates that reach the threshold, name included."""
+    def block(self, words: list[bytes]) -> dict[tuple[str, bool], float]:
+        """(label, named) -> best containment among its templates that reach the threshold.
+
+        `named`: whether the block also holds what names the license.
+        """
         have, joined = set(words), b""
-        out: dict[str, float] = {}
+        out: dict[tuple[str, bool], float] = {}
         hits: dict[int, int] = {}
         for w in have & self.prefix:
             for k, place in self.found_in[w]:
@@ -179,20 +185,19 @@ class TemplateJoin:
                 label, mark = self.label[k], self.mark[k]
                 if mark:
                     joined = joined or b" " + b" ".join(words) + b" "
-                    if not mark.search(joined):
-                        continue
-                out[label] = max(out.get(label, 0.0), shared / len(order))
+                found = label, mark is None or bool(mark.search(joined))
+                out[found] = max(out.get(found, 0.0), shared / len(order))
         return out
 
-    def text(self, lines: list[list[bytes]], window: int = WINDOW) -> dict[str, float]:
-        out: dict[str, float] = {}
-        for words in lines:
-            if self.prefix.isdisjoint(words):
-                continue
-            step = window // 2
-            for at in range(0, max(1, len(words) - step), step):
-                for label, c in self.block(words[at : at + window]).items():
-                    out[label] = max(out.get(label, 0.0), c)
+    def text(self, words: list[bytes], window: int = WINDOW) -> dict[tuple[str, bool], float]:
+        """The same over all windows of a text; only those with a word of a prefix are looked at."""
+        out: dict[tuple[str, bool], float] = {}
+        step, prefix = window // 2, self.prefix
+        last = max(0, -(-len(words) // step) - 2)  # the window that reaches the end
+        steps = {i // step for i, w in enumerate(words) if w in prefix}
+        for k in sorted({min(max(k - back, 0), last) for k in steps for back in (0, 1)}):
+            for found, c in self.block(words[k * step : k * step + window]).items():
+                out[found] = max(out.get(found, 0.0), c)
         return out
 
 
@@ -213,9 +218,9 @@ def scan(
     threshold: float = THRESHOLD,
     marks: dict[str, list[str | None]] | None = None,
 ) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, block_labels.
 
-    Without `marks` this is the plain containment join.
+    Without `marks` the labels are those of the plain containment join.
     """
     names = _template_sets(templates or TEMPLATES)
     every = frozenset(w for _, words in names for w in words)
@@ -235,8 +240,9 @@ def scan(
                     if at:
                         places += at
                         base.add(label)
-                found = join.text(lines)
-                score = max([1.0 if base else 0.0, *found.values()])
+                found = join.text(words)
+                named = {label: c for (label, ok), c in found.items() if ok}
+                score = max([1.0 if base else 0.0, *named.values()])
                 rows.append(
                     (
                         doc_id,
@@ -245,21 +251,22 @@ def scan(
                         min(places, default=None),
                         max(places, default=None),
                         ",".join(sorted(base)),
-                        ",".join(sorted(base | set(found))),
+                        ",".join(sorted(base | set(named))),
                         score,
+                        ",".join(sorted({label for label, _ in found})),
                     )
                 )
             out = pd.DataFrame(
                 rows,
                 columns=["doc_id", "n_words", "n_base", "first_word", "last_word"]
-                + ["base_labels", "labels", "score"],
+                + ["base_labels", "labels", "score", "block_labels"],
             )
             yield out.astype({"doc_id": "Int64", "first_word": "Int64", "last_word": "Int64"})
 
     return text_rows(docs).mapInPandas(
         run,
         "doc_id long, n_words long, n_base long, first_word long, last_word long, "
-        "base_labels string, labels string, score double",
+        "base_labels string, labels string, score double, block_labels string",
     )
 
 

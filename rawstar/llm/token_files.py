@@ -77,17 +77,28 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
+        self.n_ids = 0
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, bytes] = {}
-        self.n_ids = 0
+        self.before: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.known) > WORDS or self.n_ids > WORD_IDS:
-            self._forget()
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        for w, e in zip(words, found):
+        """Make all words known, from the generation before or with the tokenizer.
+
+        A generation holds half of what may be remembered; a word that is met again lives on.
+        """
+        if len(self.known) > WORDS // 2 or self.n_ids > WORD_IDS // 2:
+            self.before, self.known, self.n_ids = self.known, {}, 0
+        old = self.before
+        for w in words:
+            if w in old:
+                self.known[w] = old[w]
+                self.n_ids += len(old[w]) // 4
+        new = [w for w in words if w not in self.known]
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        for w, e in zip(new, found):
             self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
             self.n_ids += len(e)
 

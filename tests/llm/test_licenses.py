@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import pytest
 
@@ -24,19 +25,17 @@ def brute_base(text):
 
 
 def brute_labels(text):
-    """Every window of every line against every template."""
-    best = {}
-    for line in (text or "").split("\n"):
-        words = words_of(line)
-        step = li.WINDOW // 2
-        for at in range(0, max(1, len(words) - step), step):
-            have = set(words[at : at + li.WINDOW])
-            for label, templates in li.TEMPLATES.items():
-                for t in templates:
-                    want = set(t.split())
-                    c = len(want & have) / len(want)
-                    if c >= li.THRESHOLD - 1e-12:
-                        best[label] = max(c, best.get(label, 0))
+    """Every window of the text against every template."""
+    best, words = {}, words_of(text)
+    step = li.WINDOW // 2
+    for at in range(0, max(1, len(words) - step), step):
+        have = set(words[at : at + li.WINDOW])
+        for label, templates in li.TEMPLATES.items():
+            for t in templates:
+                want = set(t.split())
+                c = len(want & have) / len(want)
+                if c >= li.THRESHOLD - 1e-12:
+                    best[label] = max(c, best.get(label, 0))
     return best
 
 
@@ -78,7 +77,8 @@ def test_filters_lose_nothing():
     for frequency in ({}, {w.encode(): i for i, w in enumerate("the license version 3 under".split())}):
         join = li.TemplateJoin(frequency)
         for t in TEXTS:
-            assert join.text(li.line_words(t)) == pytest.approx(brute_labels(t))
+            words = [w.encode("utf-8", "surrogatepass") for w in words_of(t)]
+            assert join.text(words) == pytest.approx({(k, True): c for k, c in brute_labels(t).items()})
 
 
 GRANTS = {
@@ -100,6 +100,10 @@ GRANTS = {
     "Licensed under the GNU General Public License version 2 and "
     "the GNU Lesser General Public License version 3": {"lgpl-3"},
     "Licensed under the BSD license": set(),
+    "MIT License": {"mit"},
+    "SPDX-License-Identifier: MIT": {"mit"},
+    "SPDX-License-Identifier: Apache-2.0": {"apache-2"},
+    "the MIT campus asks for a driver's license, under the law": set(),
     "er kam mit dem Zug. Licensed under the Apache License, Version 2.0": {"apache-2"},
 }
 
@@ -110,3 +114,24 @@ def test_each_grant_gets_its_own_label_only(make_docs):
     rows = {r.doc_id: r.labels for r in li.find_licenses(make_docs(texts)).collect()}
     for i, (text, labels) in enumerate(zip(texts, want)):
         assert rows[i] == ",".join(sorted(labels)), text
+
+
+def test_wrapped_and_spread_texts(make_docs):
+    texts, want = [], []
+    for label, all_ in li.TEMPLATES.items():
+        for t in all_:
+            filler = "lorem ipsum dolor sit amet " * 40
+            for width in (30, 72):
+                texts.append(filler + "\n" + textwrap.fill(t, width, initial_indent=" * ") + "\n" + filler)
+                want.append(label)
+            texts.append(filler + t + " " + filler)
+            want.append(label)
+    for r in li.find_licenses(make_docs(texts)).collect():
+        assert r.labels == want[r.doc_id], texts[r.doc_id]
+        assert want[r.doc_id] in r.block_labels.split(",")
+
+
+def test_blocks_keep_what_the_names_leave_out(make_docs):
+    text = "licensed under the gnu general public license version 2"
+    (row,) = li.find_licenses(make_docs([text])).collect()
+    assert row.labels == "" and "gpl-3" in row.block_labels.split(",")
