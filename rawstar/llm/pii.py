@@ -3,15 +3,18 @@
 Base spans come from one regular expression per kind with a check (digits, ranges, Luhn). They are
 the seed entities. Around every seed, and around every other token that looks like an identifier (it
 holds a digit or an @ and has at least `MIN_TOKEN` characters), the task notes lexical patterns: the
-word before with a mark for the word after it ("L"), the key in `key=value` or `key = "value"` ("K"),
-and the token's own lead of letters with its shape ("S").
+word before with a mark for the word after it ("L"), the key of a value ("K"), and the token's own
+lead of letters with its shape ("S"). Every value behind a key is a token of its own: `a=1&b=2` has two,
+quotes may stand around key and value, and padding belongs to the value.
 
 Patterns and instances form a bipartite graph, kept as counts in a Spark table. Seeds start at 1,
 all others at 0. In each round a pattern's score is the mean score of its distinct instances,
 lowered for rare ones, and an instance's score is that of its best pattern; seeds stay at 1. After
 `ROUNDS` rounds the patterns that score `CONFIDENT` or more with at least `MIN_SUPPORT` distinct
 instances mark the unseen instances in their contexts. A label word list starts the keys (password,
-token, ...), as one more kind of seed, so that secrets behind other keys can be learned from it.
+token, ...), as one more kind of seed, so that secrets behind other keys can be learned from it. What
+stands behind such a key is marked whatever its characters and however rare it is; only a word of
+letters behind a colon and a blank is taken for prose.
 
 Only tokens that look like identifiers leave their tasks; both steps of a round are grouped sums and
 joins by key, so neither a frequent pattern nor a frequent token meets in one task as a whole.
@@ -25,7 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -49,13 +52,20 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Keys that announce a secret.
-SEED_KEYS = frozenset({"password", "passwd", "pwd", "secret", "token", "apikey"})
+SEED_KEYS = frozenset(
+    {"password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "access_token", "secret_key"}
+)
 
 _DIGITS = str.maketrans("", "", " -().+")
 _MARK = re.compile(r"[0-9@]")
 _SPACE = re.compile(r"\s")
 _KEYED = re.compile(r"([A-Za-z_]{3,20})\s?[=:]\s?[\"']?$")
+_SEPARATOR = re.compile(r"[=:]")
+_KEY = re.compile(r"([A-Za-z_]{3,20})[\"']?\s?$")
+_VALUE = re.compile(r"(\s?)(?:\"([^\"\n]*)\"|'([^'\n]*)'|([^\s&;,\"'<>{}()\[\]]+))")
 _EDGE = "\"'.,;:()[]{}<>"
+#: Shortest value behind a key that announces a secret.
+MIN_SECRET = 4
 
 
 def luhn(digits: str) -> bool:
@@ -129,13 +139,57 @@ def _patterns(text: str, start: int, end: int) -> list[str]:
     return out
 
 
+def _overlap(spans: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Whether a range meets one of the spans, which are ordered; ask for ranges in order."""
+    at = reach = 0
+
+    def meets(start: int, end: int) -> bool:
+        nonlocal at, reach
+        while at < len(spans) and spans[at][0] < end:
+            reach = max(reach, spans[at][1])
+            at += 1
+        return start < reach
+
+    return meets
+
+
+def keyed_values(text: str) -> Iterator[tuple[int, int, str, bool]]:
+    """(start, end, key, announces a secret) of every value worth a look, in order."""
+    free = 0
+    for sep in _SEPARATOR.finditer(text):
+        at = sep.start()
+        if at < free:
+            continue  # inside the value before
+        key = _KEY.search(text, max(free, at - 24), at)
+        value = key and _VALUE.match(text, at + 1)
+        if not value:
+            continue
+        nth = value.lastindex
+        start, end = value.span(nth)
+        if nth == 4:
+            while end > start and text[end - 1] in ".:!?":
+                end -= 1
+        token, name = text[start:end], key[1].lower()
+        prose = nth == 4 and sep[0] == ":" and value[1] and token.isalpha()
+        secret = name in SEED_KEYS and len(token) >= MIN_SECRET and not prose
+        marked = len(token) >= MIN_TOKEN and _MARK.search(token) and not _SPACE.search(token)
+        if secret or marked:
+            yield start, end, name, secret
+            free = end
+
+
 def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str, str, bool]]:
     """(start, end, kind, pattern, is seed): contexts of base spans and identifier-like tokens."""
     out, taken = [], []
     for start, end, kind in base:
         taken.append((start, end))
         out += [(start, end, kind, p, True) for p in _patterns(text, start, end) if p[0] != "S"]
-    at = reach = 0  # tokens pass in order: the base spans before them, and how far those reach
+    found, meets = [], _overlap(taken)
+    for start, end, key, secret in keyed_values(text):
+        if not meets(start, end):
+            out.append((start, end, "id", f"K:{key}", secret))
+            found.append((start, end))
+    meets = _overlap(sorted(taken + found))
     for start, end in _marked_words(text):
         start = max(start, text.rfind("=", start, end) + 1, text.rfind(":", start, end) + 1)
         while start < end and text[start] in _EDGE:
@@ -145,13 +199,9 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
         token = text[start:end]
         if len(token) < MIN_TOKEN or not any(c.isdigit() or c == "@" for c in token):
             continue
-        while at < len(taken) and taken[at][0] < end:
-            reach = max(reach, taken[at][1])
-            at += 1
-        if start < reach:
+        if meets(start, end):
             continue
-        for p in _patterns(text, start, end):
-            out.append((start, end, "id", p, p[0] == "K" and p[2:] in SEED_KEYS))
+        out += [(start, end, "id", p, False) for p in _patterns(text, start, end)]
     return out
 
 
@@ -221,7 +271,8 @@ def find_pii(docs: DataFrame) -> DataFrame:
     )
     new = (
         near.filter("kind = 'id'")
-        .join(good.select("pattern", "score"), "pattern")
+        .join(good.select("pattern", "score"), "pattern", "left")
+        .filter("seed OR score IS NOT NULL")
         .select("row", F.struct("start", "end", "kind").alias("s"))
         .groupBy("row")
         # candidates of one text, as many as its own tokens

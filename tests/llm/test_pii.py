@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -92,3 +93,54 @@ def test_long_zeros_and_overlaps():
     text = "key=AB1234xyz 10.0.0.1 " * 3
     base = pii.base_spans(text)
     assert [t[:2] for t in pii.candidates(text, base) if t[2] == "id"] == [(4, 13), (27, 36), (50, 59)]
+
+
+SECRETS = {
+    "token=abc123def&uid=77": ["abc123def"],
+    "password=Ab12cd== next": ["Ab12cd=="],
+    "password=correcthorse": ["correcthorse"],
+    'x {"apikey": "sk12345678", "n": 1}': ["sk12345678"],
+    '{"token":"abc:de=fg","pwd":"x y z"}': ["abc:de=fg", "x y z"],
+    "secret: 'Zx81ab22cd'": ["Zx81ab22cd"],
+    "a=1;passwd=hunter2;b=2": ["hunter2"],
+    "TOKEN = aB3dE6gH9.": ["aB3dE6gH9"],
+    "https://h.example/p?access_token=qwertyui&x=1#y": ["qwertyui"],
+}
+CLEAN = [
+    "the password: please ask", "a token: something", "see: that", "pwd=", "token= ", "x = y",
+    "ratio 3:4 = fine", "secret", 'he said: "token"',
+]
+
+
+def test_every_form_of_a_secret_is_found(make_docs, plain):
+    """Each is the only one of its kind, so no pattern has support."""
+    texts = list(SECRETS) + CLEAN
+    got = plain(pii.digest_columns(pii.find_pii(make_docs(texts))))
+    for row, (text, want) in zip(got, SECRETS.items()):
+        found = [s.split(":") for s in row["spans"].split(",")]
+        assert [text[int(a) : int(b)] for kind, a, b in found if kind == "id"] == want, text
+    for row, text in zip(got[len(SECRETS) :], CLEAN):
+        assert row["spans"] == "", text
+
+
+def test_other_keys_are_learned(make_docs, plain):
+    """A key whose values also stand behind seed keys is one itself; others are not."""
+    texts = [f"token=key{i}abc{i} then sessid=key{i}abc{i}" for i in range(20)]
+    texts += ["and sessid=fresh123value", "page=number123456"]
+    got = plain(pii.digest_columns(pii.find_pii(make_docs(texts))))
+    assert got[20]["spans"] == "id:11:24" and got[21]["spans"] == ""
+
+
+def test_scores_against_a_plain_loop(spark):
+    draw = random.Random(6)
+    edges = sorted({(f"p{draw.randint(0, 30)}", draw.randint(0, 200)) for _ in range(600)})
+    seeds = {i for _, i in edges if i % 7 == 0}
+    conf = {i: float(i in seeds) for _, i in edges}
+    for _ in range(pii.ROUNDS):
+        members = {p: [i for q, i in edges if q == p] for p, _ in edges}
+        score = {p: sum(conf[i] for i in m) / (len(m) + 1) for p, m in members.items()}
+        conf = {i: max(float(i in seeds), *(score[p] for p, j in edges if j == i)) for i in conf}
+    graph = spark.createDataFrame([(p, i, i in seeds) for p, i in edges], "pattern string, instance long, seed boolean")
+    got = {r.pattern: (r.score, r.support) for r in pii.pattern_scores(graph).collect()}
+    assert {p: n for p, (_, n) in got.items()} == {p: len(m) for p, m in members.items()}
+    assert {p: s for p, (s, _) in got.items()} == pytest.approx(score)
