@@ -20,7 +20,8 @@ from rawstar.plans.catalog import QUERIES
 
 FILE_QUERIES = {
     "raw_line_lineage", "incremental_ingest", "stream_ingest", "retry_ingest",
-    "pipeline_fact", "pipeline_gaps", "pipeline_control",
+    "pipeline_fact", "pipeline_gaps", "pipeline_control", "stream_pipeline", "failed_batch",
+    "layer_views",
 }
 
 

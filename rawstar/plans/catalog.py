@@ -801,21 +801,27 @@ def referential_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payments": (_known_payments, rules.infer_payments, "order_id"),
     }
 
-    def missing(dim: DataFrame, key: str, name: str, when: str) -> DataFrame:
-        return members.orphans(txn, dim, key, key).agg(
-            F.lit(name).alias("dimension"), F.lit(when).alias("at"), F.count("key").alias("n")
-        )
+    stage = Staging(spark)
+    txn = stage(txn)  # read by each rule and for the keys
+    named = [F.struct(F.lit(n).alias("dimension"), F.col(k).alias("key")) for n, (_, _, k) in cases.items()]
+    keys = txn.select(F.inline(F.array(*named))).filter("key IS NOT NULL")
+    keys = keys.groupBy("dimension", "key").agg(F.count("*").alias("n"))
+
+    def marks(dim: DataFrame, key: str, name: str, known: int) -> DataFrame:
+        return dim.select(F.lit(name).alias("dimension"), F.col(key).alias("key"), F.lit(known).alias("known"))
 
-    counted = []
+    both = []
     for name, (known, infer, key) in cases.items():
         dim = known(spark, sf_dir)
-        counted += [missing(dim, key, name, "before"), missing(infer(dim, txn), key, name, "after")]
+        both += [marks(dim, key, name, 1), marks(infer(dim, txn), key, name, 0)]
+    present = reduce(DataFrame.unionByName, both).groupBy("dimension", "key").agg(F.max("known").alias("known"))
+    before, after = F.coalesce("known", F.lit(0)) == 0, F.col("known").isNull()
     return (
-        reduce(DataFrame.unionByName, counted)
+        keys.join(present, ["dimension", "key"], "left")
         .groupBy("dimension")
         .agg(
-            F.sum(F.when(F.col("at") == "before", F.col("n")).otherwise(0)).alias("missing_before"),
-            F.sum(F.when(F.col("at") == "after", F.col("n")).otherwise(0)).alias("missing_after"),
+            F.count_if(before).alias("missing_before"),
+            F.sum(F.when(after, F.col("n")).otherwise(0)).alias("missing_after"),
         )
     )
 

@@ -125,11 +125,16 @@ class Lake:
             self.write(none, layer, table, batch_id)
 
     def create_views(self, batch_id: str) -> None:
-        """Temp views `silver_<table>` and `gold_<table>` over one batch."""
-        for table in schemas.SILVER_TABLES:
-            self.silver(table, batch_id).createOrReplaceTempView(f"silver_{table}")
-        for table in schemas.GOLD_TABLES:
-            self.gold(table, batch_id).createOrReplaceTempView(f"gold_{table}")
+        """Temp views `silver_<table>` and `gold_<table>` over one batch, with what it has set aside, and
+        `bronze_<table>` over the numbered lines of all batches. A table that is not there is empty.
+        """
+        layers = {"silver": schemas.SILVER_TABLES | schemas.REJECT_TABLES, "gold": schemas.GOLD_TABLES}
+        for layer, tables in layers.items():
+            for table, ddl in tables.items():
+                own = self.read(layer, table, ddl).filter(F.col("batch_id") == batch_id)
+                own.drop("batch_id").createOrReplaceTempView(f"{layer}_{table}")
+        for kind, table in schemas.RAW_TABLES.items():
+            self.raw_lines(kind).createOrReplaceTempView(f"bronze_{table}")
 
     # --- bronze ---
 
