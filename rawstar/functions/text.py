@@ -92,6 +92,7 @@ def amount_or_zero(c: Column | str, strict: bool = False) -> Column:
 
 
 # --- lines and documents ----------------------------------------------------------------------
+# The patterns of what is removed are fixed values.
 
 
 def strip_dashed(c: Column | str) -> Column:

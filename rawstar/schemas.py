@@ -52,6 +52,7 @@ FILE_PATTERNS = {
 }
 
 # --- Silver and Gold --------------------------------------------------------------------------
+# Names of tables and columns, and their types.
 
 CUSTOMER_DDL = (
     "customer_id string, customer_name string, email string, segment string, "
@@ -117,7 +118,7 @@ def columns(ddl: str) -> list[str]:
 
 # --- Semi-structured shapes -------------------------------------------------------------------
 
-# Only the fields the transaction stream needs; naming them is what prunes the parse.
+# Only the fields the transaction stream needs; naming them is what prunes the parse. Fixed values.
 XML_TRANSACTION_DDL = """
     TransactionID string,
     Order struct<
