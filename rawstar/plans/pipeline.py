@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rawstar.operators.documents import json_elements, xml_elements
 from rawstar.plans import gold, rules, silver
 from rawstar.plans.control import BatchControl
+from rawstar.plans.increments import Increments
 from rawstar.sources.ingest import ingest
 from rawstar.sources.lake import Lake, Staging
 
@@ -21,7 +22,8 @@ class PipelineOptions:
     `grain` is 'transaction' (one item per transaction) or 'line'. `unique_key` keeps one inferred
     customer per id. `append` adds to the snapshot of a batch instead of replacing it. `quarantine`
     also stores what was set aside. `on_bad` says whether text that does not parse spoils its 'record'
-    or its whole 'document'.
+    or its whole 'document'. `incremental=False` parses all files again, not only those that no batch
+    has parsed.
     """
 
     strict: bool = False
@@ -32,6 +34,7 @@ class PipelineOptions:
     only_new: bool = True
     ignore_corrupt_files: bool = False
     on_bad: str = "record"
+    incremental: bool = True
 
 
 def build_transactions(
@@ -59,7 +62,7 @@ def build_transactions(
 
 
 def build_silver(lake: Lake, batch_id: str, options: PipelineOptions) -> None:
-    """Transactions first, as five later steps read them; then each dimension.
+    """New files first, then transactions, as five later steps read them; then each dimension.
 
     The ranked rows of each CSV source are stored once: the dimension, its keys in the anti join and
     the list of rejects all read columns instead of parsing and ranking lines again.
@@ -72,14 +75,19 @@ def build_silver(lake: Lake, batch_id: str, options: PipelineOptions) -> None:
 
 
 def _build_silver(lake: Lake, batch_id: str, options: PipelineOptions, stage: Staging) -> None:
-    unified, bad_values, bad = build_transactions(lake, stage, options)
+    parsed = Increments(lake, batch_id, options.on_bad, options.strict, options.incremental)
+    parsed.add(stage)
+    unified = silver.unified_transactions(
+        silver.newest_xml(parsed.rows("items_xml"), options.strict, options.grain),
+        parsed.rows("items_json"),
+    )
     lake.write(unified, "silver", "slv_transactions", batch_id, options.append)
 
-    lines = lake.raw_lines("csv")
-    latest = {name: stage(rank(lines)) for name, rank in silver.LATEST.items()}
+    latest = {s: stage(silver.last_rows(parsed.rows(f"last_{s}"), s)) for s in silver.ROWS}
     if options.quarantine:
-        lake.write(bad, "silver", "unparsable_documents", batch_id, options.append)
-        lake.write(bad_values, "silver", "transaction_rejects", batch_id, options.append)
+        for table, part in (("unparsable_documents", "bad"), ("transaction_rejects", "values")):
+            both = parsed.rows(f"{part}_xml").unionByName(parsed.rows(f"{part}_json"))
+            lake.write(both, "silver", table, batch_id, options.append)
         rejected = silver.csv_rejects(latest)
         lake.write(rejected, "silver", "csv_rejects", batch_id, options.append)
 

@@ -29,33 +29,80 @@ def _newest(tie: list[str]) -> list[Column]:
     ]
 
 
-# --- ranked rows: the last row of each key, before any of them is rejected ---------------------
+# --- rows of each source, and the last row of each key before any of them is rejected ----------
 
 
-def latest_customers_a(lines: DataFrame) -> DataFrame:
+def rows_customers_a(lines: DataFrame) -> DataFrame:
     rows = read_source(lines, schemas.CUSTOMERS_A).filter(F.col("customer_id").like("C%"))
-    named = rows.withColumn("customer_name", text.full_name("last_name", "first_name"))
-    return keep_latest(named, ["customer_id"], _newest(["customer_name"]))
+    return rows.withColumn("customer_name", text.full_name("last_name", "first_name"))
+
+
+def rows_customers_b(lines: DataFrame) -> DataFrame:
+    return read_source(lines, schemas.CUSTOMERS_B).filter(F.col("customer_id").like("C%"))
+
+
+def rows_products(lines: DataFrame) -> DataFrame:
+    return read_source(lines, schemas.PRODUCTS)
+
+
+def rows_orders(lines: DataFrame) -> DataFrame:
+    return read_source(lines, schemas.ORDERS).withColumn("channel", text.or_unknown("channel"))
+
+
+def rows_payments(lines: DataFrame) -> DataFrame:
+    return read_source(lines, schemas.PAYMENTS)
+
+
+ROWS = {
+    "customers_a": rows_customers_a,
+    "customers_b": rows_customers_b,
+    "products": rows_products,
+    "orders": rows_orders,
+    "payments": rows_payments,
+}
+KEYS = {
+    "customers_a": "customer_id",
+    "customers_b": "customer_id",
+    "products": "sku",
+    "orders": "order_id",
+    "payments": "payment_id",
+}
+TIES = {
+    "customers_a": ["customer_name"],
+    "customers_b": ["customer_name"],
+    "products": ["product_name"],
+    "orders": [],
+    "payments": [],
+}
+
+
+def last_rows(rows: DataFrame, source: str) -> DataFrame:
+    return keep_latest(rows, [KEYS[source]], _newest(TIES[source]))
+
+
+def last_rows_by_file(lines: DataFrame, source: str) -> DataFrame:
+    """The last row of each key in each file. `last_rows` of these is `last_rows` of all rows."""
+    return keep_latest(ROWS[source](lines), [KEYS[source], "file_name"], _newest(TIES[source]))
+
+
+def latest_customers_a(lines: DataFrame) -> DataFrame:
+    return last_rows(rows_customers_a(lines), "customers_a")
 
 
 def latest_customers_b(lines: DataFrame) -> DataFrame:
-    rows = read_source(lines, schemas.CUSTOMERS_B).filter(F.col("customer_id").like("C%"))
-    return keep_latest(rows, ["customer_id"], _newest(["customer_name"]))
+    return last_rows(rows_customers_b(lines), "customers_b")
 
 
 def latest_products(lines: DataFrame) -> DataFrame:
-    return keep_latest(read_source(lines, schemas.PRODUCTS), ["sku"], _newest(["product_name"]))
+    return last_rows(rows_products(lines), "products")
 
 
 def latest_orders(lines: DataFrame) -> DataFrame:
-    rows = read_source(lines, schemas.ORDERS)
-    return keep_latest(
-        rows.withColumn("channel", text.or_unknown("channel")), ["order_id"], _newest([])
-    )
+    return last_rows(rows_orders(lines), "orders")
 
 
 def latest_payments(lines: DataFrame) -> DataFrame:
-    return keep_latest(read_source(lines, schemas.PAYMENTS), ["payment_id"], _newest([]))
+    return last_rows(rows_payments(lines), "payments")
 
 
 # --- dimensions, from ranked rows --------------------------------------------------------------
@@ -68,13 +115,6 @@ FLAGS = {
     "orders": {"order_status": [INVALID_CUSTOMER], "channel": [INVALID_CUSTOMER]},
     "payments": {},
 }
-KEYS = {
-    "customers_a": "customer_id",
-    "customers_b": "customer_id",
-    "products": "sku",
-    "orders": "order_id",
-    "payments": "payment_id",
-}
 LATEST = {
     "customers_a": latest_customers_a,
     "customers_b": latest_customers_b,
@@ -271,12 +311,16 @@ def standardise_xml(flat: DataFrame, strict: bool = False) -> DataFrame:
 def xml_transactions(
     elements: DataFrame, strict: bool = False, grain: str = "transaction"
 ) -> DataFrame:
-    """Newest row per transaction id, NULL order dates first.
+    return newest_xml(flatten_xml(elements), strict, grain)
+
+
+def newest_xml(flat: DataFrame, strict: bool = False, grain: str = "transaction") -> DataFrame:
+    """Newest row per transaction id of flattened items, NULL order dates first.
 
     With grain 'transaction' one item per id survives and empty ids collapse into one row; with
     'line' every item of the newest copy position survives and rows without an id are all kept.
     """
-    rows = standardise_xml(flatten_xml(elements), strict)
+    rows = standardise_xml(flat, strict)
     order = [
         F.col("order_date").desc_nulls_first(),
         F.col("file_name").asc(),
@@ -304,12 +348,14 @@ def _json_items(elements: DataFrame) -> DataFrame:
     return elements.select(*places, "t", F.explode(variant_members("t", "$.items")).alias("i"))
 
 
-def flatten_json(elements: DataFrame, strict: bool = False) -> DataFrame:
+def flatten_json(elements: DataFrame, strict: bool = False, lineage: bool = False) -> DataFrame:
     """One typed row per item of each transaction; an empty item list gives no row.
 
-    Numbers and dates that do not parse are NULL, or stop the query when `strict`.
+    Numbers and dates that do not parse are NULL, or stop the query when `strict`. `lineage` adds the
+    file name.
     """
     items = _json_items(elements)
+    places = ["file_name"] if lineage else []
 
     def get(v: str, path: str, kind: str = "string") -> Column:
         if kind == "double":  # by its text: the engine's cast also takes "1d"
@@ -317,6 +363,7 @@ def flatten_json(elements: DataFrame, strict: bool = False) -> DataFrame:
         return F.try_variant_get(v, path, kind)
 
     return items.select(
+        *places,
         get("t", "$.id").alias("transaction_id"),
         get("t", "$.order.id").alias("order_id"),
         text.to_date(get("t", "$.order.date"), strict).alias("order_date"),

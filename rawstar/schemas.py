@@ -191,5 +191,41 @@ CSV_SOURCES = {
     "orders": ORDERS,
     "payments": PAYMENTS,
 }
+# --- What each build has parsed (see plans/increments.py) ---------------------------------------
+
+
+def _texts(*names: str) -> str:
+    return ", ".join(f"{name} string" for name in names)
+
+
+#: Files a build has parsed: which load of them, and with which options.
+PARSED_FILES_DDL = (
+    "file_name string, kind string, load_batch string, load_dt timestamp_ntz, parsed_as string, "
+    "parsed_dt timestamp_ntz"
+)
+#: Tables of each format, all with a `file_name`.
+PARSED_TABLES = {
+    "csv": {
+        f"last_{name}": f"file_name string, file_row_number bigint, {_texts(*source.positions)}"
+        + (", customer_name string" if source is CUSTOMERS_A else "")
+        for name, source in CSV_SOURCES.items()
+    },
+    "xml": {
+        "items_xml": _texts(
+            "transaction_id", "order_id", "order_date", "customer_id", "first_name", "last_name",
+            "customer_email", "sku", "description", "quantity", "unit_price", "currency",
+            "payment_method", "payment_amount", "file_name",
+        )
+        + ", record_no bigint, item_no int",
+        "values_xml": REJECT_TABLES["transaction_rejects"],
+        "bad_xml": REJECT_TABLES["unparsable_documents"],
+    },
+    "json": {
+        "items_json": "file_name string, price_amount double, " + TRANSACTION_DDL,
+        "values_json": REJECT_TABLES["transaction_rejects"],
+        "bad_json": REJECT_TABLES["unparsable_documents"],
+    },
+}
+
 #: Route of lines that no CSV source claims.
 NO_ROUTE = "none"

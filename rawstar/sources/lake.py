@@ -175,6 +175,26 @@ class Lake:
         # Mostly there are none, and then the lines need no join.
         return stored if old.isEmpty() else stored.join(old, ["file_name", "batch_id"], "left_anti")
 
+    def newest_loads(self, kind: str) -> DataFrame:
+        """(file_name, batch_id, load_dt) of the newest load of each file."""
+        last = F.max(F.struct("load_dt", "batch_id")).alias("l")
+        loads = self.raw_splits(kind).groupBy("file_name").agg(last)
+        return loads.select("file_name", "l.batch_id", "l.load_dt")
+
+    def lines_of(self, kind: str, loads: DataFrame) -> DataFrame:
+        """Numbered lines of some loads (file_name, batch_id); partitions of other batches are not read.
+
+        Mostly a batch is wanted whole, and then its lines need no join.
+        """
+        keys = ["file_name", "batch_id"]
+        batches = [r[0] for r in loads.select("batch_id").distinct().collect()]  # one per batch
+        wanted = F.col("batch_id").isin(batches) if batches else F.lit(False)
+        table = schemas.RAW_TABLES[kind]
+        stored = self.read("bronze", table, f"{schemas.RAW_LINE_DDL}, route string").filter(wanted)
+        others = self.raw_splits(kind).filter(wanted).select(*keys).distinct()
+        others = others.join(loads.select(*keys), keys, "left_anti")
+        return stored if others.isEmpty() else stored.join(others, keys, "left_anti")
+
     def raw_splits(self, kind: str) -> DataFrame:
         return self.read("bronze", f"{schemas.RAW_TABLES[kind]}_splits", schemas.SPLIT_DDL)
 
