@@ -15,7 +15,7 @@ UNKNOWN = "UNKNOWN"
 # As scanned: `split_start` and `line_id` place a line exactly inside its file (see
 # sources/raw_lines.py). Kept until the lines of the batch are numbered.
 SCANNED_DDL = (
-    "raw_content string, file_name string, source_name string, "
+    "raw_content string, line_bytes int, file_name string, source_name string, "
     "split_start bigint, line_id bigint, load_dt timestamp_ntz, file_path string, file_size bigint, "
     "modification_time timestamp_ntz"
 )

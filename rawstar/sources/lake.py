@@ -143,14 +143,22 @@ class Lake:
         lines.write.mode("overwrite").partitionBy("route").parquet(path)
 
     def write_raw(self, lines: DataFrame, kind: str, batch_id: str) -> DataFrame:
-        """Keep scanned lines, one summary row per split of each file, then the numbered lines.
+        """Keep scanned lines and number them. Returns path, size and time of the files that lines came
+        from, as they were when they were read.
+        """
+        self.keep_scan(lines, kind, batch_id)
+        return self.number_scan(kind, batch_id)
+
+    def keep_scan(self, lines: DataFrame, kind: str, batch_id: str, append: bool = False) -> None:
+        """Keep lines as they were scanned; no file may come in two scans of a batch."""
+        self.write(lines, "bronze", f"_scanned_{kind}", batch_id, append)
 
-        Only CSV lines have routes; the others lie in one. Returns path, size and time of the files
-        that lines came from, as they were when they were read.
+    def number_scan(self, kind: str, batch_id: str) -> DataFrame:
+        """One summary row per split of each file, from all columns but the text, then the numbered
+        lines. Only CSV lines have routes; the others lie in one.
         """
-        table, scanned = schemas.RAW_TABLES[kind], f"_scanned_{kind}"
-        self.write(lines, "bronze", scanned, batch_id)
-        stored = self.read("bronze", scanned, schemas.SCANNED_DDL, batch_id)
+        table = schemas.RAW_TABLES[kind]
+        stored = self.read("bronze", f"_scanned_{kind}", schemas.SCANNED_DDL, batch_id)
         self.write(summarise_splits(stored), "bronze", f"{table}_splits", batch_id)
         splits = self.read("bronze", f"{table}_splits", schemas.SPLIT_DDL, batch_id)
         numbered = number_lines(stored, splits)
@@ -163,7 +171,7 @@ class Lake:
         return stored.select("file_path", "file_size", "modification_time").distinct()
 
     def drop_scanned(self, kind: str, batch_id: str) -> None:
-        """Empty what `write_raw` has kept of the scan."""
+        """Empty what was kept of the scan."""
         none = self.spark.createDataFrame([], schemas.SCANNED_DDL)
         self.write(none, "bronze", f"_scanned_{kind}", batch_id)
 

@@ -195,3 +195,37 @@ def test_pipeline_after_a_stream_loads_nothing_again(spark, tmp_path):
     assert lake.silver("dim_order", batch).filter("order_id = '1'").count() == 1
     with pytest.raises(EmptyBatchError):
         run_pipeline(spark, str(landing), lake.root)
+
+
+def test_files_are_scanned_in_slices_and_listed_once(spark, tmp_path, monkeypatch):
+    from rawstar.sources import ingest as module
+
+    (tmp_path / "in").mkdir()
+    for i in range(7):
+        (tmp_path / "in" / f"f{i}.csv").write_text("\n".join(f"{i},{j}" for j in range(i + 1)))
+    lists, scans = [], []
+    real_list, real_scan = module.list_landing, module.scan_lines
+    monkeypatch.setattr(module, "list_landing", lambda *a: lists.append(1) or real_list(*a))
+    monkeypatch.setattr(
+        module, "scan_lines", lambda *a, **k: scans.append(len(k["paths"])) or real_scan(*a, **k)
+    )
+    sliced, whole = Lake(spark, str(tmp_path / "sliced")), Lake(spark, str(tmp_path / "whole"))
+    ingest(sliced, str(tmp_path / "in"), "B1", slice_size=3)
+    assert (sorted(scans), len(lists)) == ([1, 3, 3], 1)
+    ingest(whole, str(tmp_path / "in"), "B1")
+    assert scans[3:] == [7]
+    assert numbered(sliced) == numbered(whole) and len(numbered(sliced)) == 28
+    # the same batch again replaces all slices
+    ingest(sliced, str(tmp_path / "in"), "B1", slice_size=2)
+    assert numbered(sliced) == numbered(whole)
+    assert loaded_files(sliced).count() == 7
+
+
+def test_summaries_of_splits_read_no_text(spark, tmp_path):
+    from rawstar.sources.raw_lines import summarise_splits
+
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.write(spark.createDataFrame([], schemas.SCANNED_DDL), "bronze", "_scanned_csv", "B1")
+    stored = lake.read("bronze", "_scanned_csv", schemas.SCANNED_DDL, "B1")
+    plan = summarise_splits(stored)._jdf.queryExecution().optimizedPlan().toString()
+    assert "raw_content" not in plan.split("Relation")[0]
