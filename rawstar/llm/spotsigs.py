@@ -11,6 +11,16 @@ sets of lengths whose ratio is under the threshold cannot reach it, and the merg
 sets stops as soon as what is left cannot make up for what was missed. `length_class` cuts lengths
 so that sets that can reach the threshold lie in the same class or in neighbouring ones.
 
+`near_duplicates` links all documents whose signatures reach a threshold. Equal signatures are one
+node. Spots are ordered from rare to frequent, by counts in 2^16 bins (a fixed size, whatever the
+input; any order that all sets share is exact). Sets that reach the threshold share a spot among the
+first n - ceil(threshold * n) + 1 of each, so these spots alone, with the length class and the one
+above it, are the keys under which sets meet. What is shuffled there is ids, lengths and places, no
+sets. A pair goes on only if its lengths and the places of its shared spot leave room for the
+threshold; the first spot that two sets share is among those that say so. What is left meets both
+signatures, and the pruned Jaccard decides. No pair is sampled or capped; a spot that many sets have is rare in
+no set that has others, and a key that many sets share is one that adaptive execution may split.
+
 `next_likeness` compares each document with its successor in descending id and with an edit that
 puts the successor's start in place of its own second half. Documents are dealt by ranges of ids, and
 the first document of each range also goes to the range before it: one shuffle of the texts, no task
@@ -18,7 +28,9 @@ with more than its range and one row.
 
 Results for odd input: a null text is empty, and empty texts have the likeness 1. Rows without an id
 come last; rows with equal ids follow each other by text. A single document is its own successor. An
-empty table gives an empty result.
+empty table gives an empty result. In `near_duplicates` rows are told apart by id and text: rows with
+equal ids keep theirs, rows without an id have the class of the others like them, and a class without
+any id has none. All texts without words are alike.
 """
 
 from __future__ import annotations
@@ -33,10 +45,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rawstar.llm.base import text_rows
+from rawstar.llm.base import stage, text_rows
+from rawstar.llm.graph import components
 
 CHAIN = 2
 GAP = 8
+#: Bins in which spots are counted to order them by rarity.
+BINS = 1 << 16
 
 # Frequent function words of four languages.
 COMMON = frozenset(
@@ -193,3 +208,115 @@ def next_likeness(docs: DataFrame, parts: int | None = None) -> DataFrame:
     dealt = _ranges(rows, parts).repartition(parts, "part")
     ordered = dealt.sortWithinPartitions("part", "guest", F.col("doc_id").desc_nulls_last(), "text")
     return ordered.select("part", "guest", "doc_id", "text").mapInPandas(run, ddl)
+
+
+# --- near-duplicates among all documents --------------------------------------------------------
+
+
+def from_fingerprint(text: str) -> np.ndarray:
+    return np.frombuffer(bytes.fromhex(text), ">u4").astype(np.uint32)
+
+
+def _bin_counts(nodes: DataFrame) -> np.ndarray:
+    """Spots in each bin over all nodes: BINS numbers, summed per task before the shuffle."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(BINS, np.int64)
+        for b in batches:
+            for text in b["fingerprint"]:
+                counts += np.bincount(from_fingerprint(text) % BINS, minlength=BINS)
+        some = np.flatnonzero(counts)
+        yield pd.DataFrame({"bin": some, "n": counts[some]})
+
+    sums = nodes.select("fingerprint").mapInPandas(run, "bin long, n long")
+    counts = np.zeros(BINS, np.int64)
+    for r in sums.groupBy("bin").agg(F.sum("n").alias("n")).collect():  # BINS rows at most
+        counts[r["bin"]] = r["n"]
+    return counts
+
+
+def prefix(sig: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """The rarest spots of a set, of which it shares one with every set that reaches the threshold."""
+    n = len(sig)
+    order = np.lexsort((sig, counts[sig % BINS]))
+    return sig[order[: n - math.ceil(threshold * n - 1e-9) + 1]]
+
+
+def _keys(nodes: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
+    """node, n, length class, and each spot of the prefix with its place."""
+    shared = nodes.sparkSession.sparkContext.broadcast(counts)  # BINS numbers
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            sigs = [from_fingerprint(text) for text in b["fingerprint"]]
+            first = [prefix(sig, shared.value, threshold) for sig in sigs]
+            times = [len(f) for f in first]
+            yield pd.DataFrame(
+                {
+                    "node": np.repeat(b["node"].to_numpy(), times),
+                    "n": np.repeat([len(sig) for sig in sigs], times),
+                    "class": np.repeat([length_class(len(sig), threshold) for sig in sigs], times),
+                    "spot": np.concatenate([*first, np.zeros(0, np.uint32)]).astype(np.int64),
+                    "place": np.concatenate([np.arange(t) for t in [*times, 0]]),
+                }
+            )
+
+    ddl = "node long, n int, class int, spot long, place int"
+    return nodes.select("node", "fingerprint").mapInPandas(run, ddl)
+
+
+def near_links(nodes: DataFrame, threshold: float) -> DataFrame:
+    """u < v of `nodes` (node long, fingerprint) that reach the threshold, with their likeness."""
+    keys = stage(_keys(nodes, _bin_counts(nodes), threshold), "spot-keys")
+    a = keys.select(*[F.col(c).alias(f"a_{c}") for c in keys.columns])
+    # a set meets those of its own length class and of the one above
+    own = F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("meets")
+    b = keys.select(*[F.col(c).alias(f"b_{c}") for c in keys.columns if c != "class"], "class")
+    b = b.select("*", own).withColumnRenamed("class", "b_class")
+    need = F.lit(threshold / (1 + threshold)) * (F.col("a_n") + F.col("b_n")) - 1e-9
+    room = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
+    once = (F.col("a_class") < F.col("b_class")) | (F.col("a_node") < F.col("b_node"))
+    met = a.join(
+        b,
+        (F.col("a_spot") == F.col("b_spot")) & (F.col("a_class") == F.col("meets"))
+        & (F.col("a_node") != F.col("b_node")) & once
+        & (F.least("a_n", "b_n") >= F.lit(threshold) * F.greatest("a_n", "b_n") - 1e-9)
+        & (room >= need),
+    )
+    pairs = met.select(
+        F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v")
+    ).distinct()
+    sigs = nodes.select(F.col("node"), "fingerprint")
+    sides = pairs.join(sigs.select(F.col("node").alias("u"), F.col("fingerprint").alias("a")), "u")
+    sides = sides.join(sigs.select(F.col("node").alias("v"), F.col("fingerprint").alias("b")), "v")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            near = [
+                jaccard(from_fingerprint(p), from_fingerprint(q), threshold)
+                for p, q in zip(x["a"], x["b"])
+            ]
+            out = pd.DataFrame({"u": x["u"], "v": x["v"], "likeness": near})
+            yield out[out["likeness"] > 0]
+
+    return sides.select("u", "v", "a", "b").mapInPandas(run, "u long, v long, likeness double")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """doc_id, class_id (least id of those it reaches), n_links: other signatures it is near to."""
+    if not 0 < threshold <= 1:
+        raise ValueError("threshold must lie above 0 and not above 1")
+    rows = stage(signatures(docs), "spot-signatures")
+    found = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    # numbers, as several signatures may have the same least id, or none
+    nodes = stage(found.withColumn("node", F.monotonically_increasing_id()), "spot-nodes")
+    links = stage(near_links(nodes, threshold), "spot-links")
+    both = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node")))
+    degree = both.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    rooted = nodes.join(
+        components(links.select("u", "v")).withColumnRenamed("u", "node"), "node", "left"
+    ).select("node", "fingerprint", "least", F.coalesce("root", "node").alias("root"))
+    names = rooted.groupBy("root").agg(F.min("least").alias("class_id"))
+    named = rooted.join(names, "root").join(degree, "node", "left")
+    named = named.select("fingerprint", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return rows.join(named, "fingerprint").select("doc_id", "class_id", "n_links")

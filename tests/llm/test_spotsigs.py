@@ -57,3 +57,67 @@ def test_pruned_jaccard(prose, threshold):
             if 0 < threshold < 1 and exact >= threshold:
                 gap = sp.length_class(len(x), threshold) - sp.length_class(len(y), threshold)
                 assert abs(gap) <= 1
+
+
+def classes(rows, threshold):
+    """(doc_id, class, links) by comparing all pairs of distinct signatures."""
+    sets = {}
+    for r in rows:
+        sets.setdefault(frozenset(sp.signature(r.text or "").tolist()), []).append(r.doc_id)
+    nodes = list(sets)
+    near = {a: [b for b in nodes if a != b and len(a & b) >= threshold * len(a | b)] for a in nodes}
+    out, seen = [], set()
+    for a in nodes:
+        if a in seen:
+            continue
+        group, todo = {a}, [a]
+        while todo:
+            for b in near[todo.pop()]:
+                if b not in group:
+                    group.add(b)
+                    todo.append(b)
+        seen |= group
+        ids = [i for b in group for i in sets[b] if i is not None]
+        out += [(i, min(ids, default=None), len(near[b])) for b in group for i in sets[b]]
+    return sorted(out, key=str)
+
+
+def variants(prose):
+    """Chains of texts that differ by a word or a few from one to the next, of all lengths."""
+    out = list(prose[:25])
+    for k, text in enumerate(prose[:12]):
+        words = " ".join([text] * 2).split()
+        for step in range(1, 6):
+            words = list(words)
+            words[(step * 7 + k) % len(words)] = f"new{step}"
+            out += [" ".join(words), " ".join(words[: len(words) - step * (k % 3)])]
+    return out + out[:4] + ["", "...", "the", "x"]
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.8, 1.0])
+def test_near_duplicates(make_docs, prose, threshold):
+    docs = make_docs(variants(prose))
+    got = sorted(map(tuple, sp.near_duplicates(docs, threshold).collect()), key=str)
+    want = classes(docs.collect(), threshold)
+    assert got == want
+    if threshold == 0.8:
+        assert sum(r[2] for r in got) > 20 and len({r[1] for r in got}) < len(got)
+
+
+def test_near_duplicates_of_awkward_rows(awkward, empty):
+    got = sorted(map(tuple, sp.near_duplicates(awkward).collect()), key=str)
+    assert got == classes(awkward.collect(), 0.8)
+    assert sp.near_duplicates(empty).collect() == []
+
+
+def test_prefixes_meet(prose):
+    import numpy as np
+
+    sigs = [sp.signature(t) for t in variants(prose)]
+    counts = sum(np.bincount(s % sp.BINS, minlength=sp.BINS) for s in sigs)
+    for t in (0.5, 0.8):
+        cut = [set(sp.prefix(s, counts, t).tolist()) for s in sigs]
+        for i, a in enumerate(sigs):
+            for j in range(i):
+                if sp.jaccard(a, sigs[j], t):
+                    assert cut[i] & cut[j]
