@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 ROWS_PER_FILE = 150
 LINES_PER_ROW = 100
-TASKS = 8  # pieces that a table is rendered in, whatever it is stored in
+TASKS = 8  # pieces that a table is rendered in at least, whatever it is stored in
+ROWS_PER_TASK = 150_000  # rows of a piece at most, unless the number of pieces is given
 FILE_BYTES = ROWS_PER_FILE * LINES_PER_ROW * 60  # about the most a record file can hold
 
 
@@ -88,9 +89,11 @@ def record_lines(
     head: list[str],
     body: list[Column],
     rows_per_file: int = ROWS_PER_FILE,
-    tasks: int = TASKS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Lines of record files: `body` lines per input row, after `head` once per file."""
+    if tasks is None:
+        tasks = max(TASKS, -(-df.count() // ROWS_PER_TASK))
     # The upper bits of the id are the task, the lower ones count the rows of the task from 0.
     placed = (
         df.repartition(tasks)
@@ -202,7 +205,7 @@ def order_xml(
     orders: DataFrame,
     copies: bool = False,
     rows_per_file: int = ROWS_PER_FILE,
-    tasks: int = TASKS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """XML lines: one transaction of two items per order.
 
@@ -289,7 +292,7 @@ def comma(rows_per_file: int = ROWS_PER_FILE) -> Column:
 
 
 def order_json(
-    orders: DataFrame, rows_per_file: int = ROWS_PER_FILE, tasks: int = TASKS
+    orders: DataFrame, rows_per_file: int = ROWS_PER_FILE, tasks: int | None = None
 ) -> DataFrame:
     """JSON lines: one transaction per order.
 

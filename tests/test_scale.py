@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rawstar.operators import documents
+from rawstar.plans import render
 from rawstar.sources.lake import Staging
 
 TRANSACTION = "<Transaction><TransactionID>{}</TransactionID><Items><Item><SKU>s</SKU></Item></Items></Transaction>"
@@ -59,6 +60,12 @@ def test_tails_of_chunks(spark):
     assert found == ["<b", "", "-", "--", "<a -", "", "-", "<"]
 
 
+def test_rendering_takes_more_tasks_for_more_rows(spark, monkeypatch):
+    monkeypatch.setattr(render, "ROWS_PER_TASK", 5)
+    made = render.record_lines(spark.range(100), "f", ".txt", ["head"], [F.col("id").cast("string")])
+    assert made.select(F.spark_partition_id()).distinct().count() == 20
+
+
 def test_what_records_were_cut_from_is_emptied(spark, lines, tmp_path, monkeypatch):
     made = []
 
