@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rawstar.operators import documents
-from rawstar.plans import render
+from rawstar.plans import catalog_files, render
 from rawstar.sources.lake import Staging
 
 TRANSACTION = "<Transaction><TransactionID>{}</TransactionID><Items><Item><SKU>s</SKU></Item></Items></Transaction>"
@@ -80,3 +80,12 @@ def test_what_records_were_cut_from_is_emptied(spark, lines, tmp_path, monkeypat
     assert elements.count() == 3
     assert sum(spark.read.schema(s).parquet(p).count() for x in made for p, s in x.made) == 0
     assert made and made[0].made
+
+
+def test_a_task_writes_a_file_in_order(spark, tmp_path):
+    made = spark.range(0, 20_000, 1, 2).select(F.nullif(F.col("id").cast("string"), F.lit("7")).alias("raw_content"))
+    landing = str(tmp_path / "landing")
+    catalog_files.write_tasks(made, landing, str(tmp_path / "spool"), "client_a/t_{}_0.xml".format)
+    for task in (0, 1):
+        text = (tmp_path / "landing" / "client_a" / f"t_{task}_0.xml").read_text().splitlines()
+        assert text == ["" if i == 7 else str(i) for i in range(10_000 * task, 10_000 * (task + 1))]
