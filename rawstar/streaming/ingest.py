@@ -9,7 +9,7 @@ from rawstar.functions import text
 from rawstar.plans.control import BatchControl
 from rawstar.sources.ingest import LEDGER
 from rawstar.sources.lake import Lake
-from rawstar.sources.raw_lines import landing_path, landing_root, line_columns, raw_columns
+from rawstar.sources.raw_lines import landing_path, landing_root, line_columns, listing, raw_columns
 
 
 def ingest_available(
@@ -30,25 +30,25 @@ def ingest_available(
     reader = lake.spark.readStream.option("recursiveFileLookup", True)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = (
-        reader.text(root, lineSep="\n")
-        .filter(text.relative_name(landing_path(), root).rlike(schemas.FILE_PATTERNS[kind]))
-        .select(*line_columns())
-    )
+    with listing(lake.spark):
+        found = reader.text(root, lineSep="\n")
+    wanted = text.relative_name(landing_path(), root).rlike(schemas.FILE_PATTERNS[kind])
+    lines = found.filter(wanted).select(*line_columns())
     control = BatchControl(lake)
 
     def store(batch: DataFrame, epoch: int) -> None:
         batch_id = f"{prefix}_{kind.upper()}_{epoch:012d}"
         control.start(batch_id)
-        files = lake.write_raw(raw_columns(batch, root, right_trim=kind == "csv"), kind, batch_id)
+        files = lake.write_raw(raw_columns(batch, right_trim=kind == "csv"), kind, batch_id, root)
         control.record_counts(batch_id)
         lake.write(files, "bronze", LEDGER, batch_id)
         lake.drop_scanned(kind, batch_id)
 
-    stream = (
-        lines.writeStream.foreachBatch(store)
-        .option("checkpointLocation", lake.path("bronze", f"_stream_{kind}"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    stream.awaitTermination()
+    with listing(lake.spark):  # the stream lists files in its own time, so until it stops
+        stream = (
+            lines.writeStream.foreachBatch(store)
+            .option("checkpointLocation", lake.path("bronze", f"_stream_{kind}"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        stream.awaitTermination()

@@ -229,3 +229,61 @@ def test_summaries_of_splits_read_no_text(spark, tmp_path):
     stored = lake.read("bronze", "_scanned_csv", schemas.SCANNED_DDL, "B1")
     plan = summarise_splits(stored)._jdf.queryExecution().optimizedPlan().toString()
     assert "raw_content" not in plan.split("Relation")[0]
+
+
+def tasks_of(spark, work):
+    """Most tasks in one stage of the jobs that `work` starts, and its result."""
+    import uuid
+
+    group, tracker = uuid.uuid4().hex, spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    infos = [i for i in map(tracker.getStageInfo, stages) if i is not None]
+    return max((i.numTasks for i in infos), default=0), out
+
+
+def test_many_files_are_listed_in_few_tasks(spark, tmp_path):
+    from rawstar.sources.raw_lines import LISTING_TASKS, scan_lines
+
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, source = spark.conf.get(name), tmp_path / "in"
+    for i in range(100):
+        (source / f"d{i}").mkdir(parents=True)
+        (source / f"d{i}" / "f.csv").write_text(f"{i}\n")
+    most = LISTING_TASKS * spark.sparkContext.defaultParallelism
+    n, listed = tasks_of(spark, lambda: list_landing(spark, str(source)))
+    paths = [r["file_path"] for r in listed.collect()]
+    assert 0 < n <= most and len(paths) == 100
+    n, lines = tasks_of(spark, lambda: scan_lines(spark, str(source), r".*\.csv.*", paths))
+    assert 0 < n <= most and lines.count() == 100
+    assert spark.conf.get(name) == before
+
+
+def test_names_and_routes_are_worked_out_once_per_split(spark, tmp_path):
+    from rawstar.sources.raw_lines import scan_lines
+
+    source = tmp_path / "in a%b"
+    source.mkdir()
+    files = {"Orders 1.csv": "1,x", "x_order.csv": "2,y\n3,z", "other+.csv": "4", "customer.csv": '"5"'}
+    for name, content in files.items():
+        (source / name).write_text(content)
+    paths = [str(source / name) for name in files]
+    plan = scan_lines(spark, str(source), r".*\.csv.*", paths)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan and "lower(" not in plan
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest(lake, str(source), "B1")
+    rows = lake.raw_lines("csv").select("file_name", "source_name", "file_row_number", "raw_content", "route")
+    assert sorted(map(tuple, rows.collect())) == [
+        ("Orders 1.csv", "orders_1.csv", 1, "1,x", ".orders."),
+        ("customer.csv", "customer.csv", 1, "5", ".customers_a."),
+        ("other+.csv", "other+.csv", 1, "4", schemas.NO_ROUTE),
+        ("x_order.csv", "x_order.csv", 1, "2,y", ".orders."),
+        ("x_order.csv", "x_order.csv", 2, "3,z", ".orders."),
+    ]
+    assert sorted(r[0] for r in loaded_files(lake).select("file_path").collect()) == sorted(
+        r[0] for r in list_landing(spark, str(source)).select("file_path").collect()
+    )
