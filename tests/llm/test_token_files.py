@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -79,6 +80,92 @@ def test_pieces_and_forgetting(library, monkeypatch, prose):
     assert " ".join(tf.pieces("a b  c d" * 9, 5)) == "a b  c d" * 9
 
 
+def arrow(texts):
+    return pa.array(texts, pa.string())
+
+
+def test_texts_together(library, prose, monkeypatch):
+    texts = ["", *prose, "", "one two\n", prose[0], "Ünïcode ÉTÉ × 漢字 e\u0301t\u00e9 'S're'dx \"'s ''ll x²1"] * 2
+    for together, piece in ((1 << 23, 1 << 20), (70, 60), (1, 5)):
+        monkeypatch.setattr(tf, "TOGETHER", together)
+        monkeypatch.setattr(tf, "PIECE", piece)
+        words = tf.WordEncoder(tf.vocabulary())
+        for _ in range(2):
+            got = [ids.tolist() for ids in words.documents(arrow(texts)[1:])]
+            assert got == [library(t) for t in texts[1:]], together
+    assert list(words.documents(arrow([]))) == []
+
+
+class Counted:
+    def __init__(self, model):
+        self.model, self.asked = model, []
+
+    def tokenize(self, run):
+        self.asked.append(run)
+        return self.model.tokenize(run)
+
+
+def test_a_run_is_encoded_once(library):
+    texts = ["Word word, WORD. word's Élan", "(word) élan, word7 words"]
+    words = tf.WordEncoder(tf.vocabulary())
+    words.model = Counted(words.model)
+    got = [ids.tolist() for ids in words.documents(arrow(texts))] + [words.document(texts[0]).tolist()]
+    assert got == [library(t) for t in (*texts, texts[0])]
+    assert sorted(words.model.asked) == sorted(["word", ",", ".", "'s", "Ã©lan", "(", ")", "7", "words"])
+
+
+def test_plain_words_as_the_library(library):
+    draw = random.Random(5)
+    letters = "abzAZ09'stmdrevl.,!<|>_-\"éÉßÿÀþ÷×\u0300\t²µ"
+    texts = [" ".join("".join(draw.choices(letters, k=draw.randrange(9))) for _ in range(60)) for _ in range(60)]
+    words = tf.WordEncoder(tf.vocabulary())
+    assert words.by_runs
+    assert [ids.tolist() for ids in words.documents(arrow(texts))] == [library(t) for t in texts]
+
+
+@pytest.mark.parametrize("change", ["case", "added"])
+def test_other_steps(tmp_path, change):
+    from tokenizers import AddedToken, normalizers
+
+    tokenizer = Tokenizer.from_file(tf.vocabulary())
+    if change == "case":
+        tokenizer.normalizer = normalizers.NFC()
+    else:
+        tokenizer.add_tokens([AddedToken("WORD", normalized=False)])
+    path = str(tmp_path / "other.json")
+    tokenizer.save(path)
+    words, text = tf.WordEncoder(path), "One WORD, word's one"
+    assert not words.by_runs
+    assert words.document(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_groups_share_counts(tmp_path, monkeypatch):
+    monkeypatch.setattr(rc, "LANES", 3)
+    path, draw = str(tmp_path / "a.ids"), random.Random(4)
+    ids = [draw.randrange(16) * 32 + (i // 3000) for i in range(10_000)]
+    writer = tf.FileWriter(path, 600, block_ids=1000)
+    writer.add(1, np.array(ids[:100], dtype=np.uint32))
+    writer.add(2, np.array(ids[100:9000], dtype=np.uint32))
+    writer.add(3, np.array(ids[9000:], dtype=np.uint32))
+    n_bytes = writer.close()[2]
+    # 4 bits an id, as each of the 16 ids of a group is as likely
+    assert n_bytes < len(ids) * 0.8
+    reader = tf.FileReader(path)
+    assert reader.shares.shape == (4, 600)
+    assert np.concatenate([x for _, _, x in reader.documents()]).tolist() == ids
+    for start, n in ((2999, 2), (2500, 5000), (8999, 1001), (0, 10_000)):
+        assert reader.ids(start, n).tolist() == ids[start : start + n]
+
+
+def test_shares():
+    shares = rc.shares_of(np.array([0, 1, 10**9, 0, 3]))
+    assert shares.sum() == 1 << 18 and (shares > 0).tolist() == [False, True, True, False, True]
+    with pytest.raises(ValueError):
+        rc.encode_blocks([np.array([0, 1])], 5, shares)
+    with pytest.raises(ValueError):
+        rc.shares_of(np.zeros(4, dtype=np.int64))
+
+
 def expected(docs, library):
     """doc_id -> (tokens, checksums) of its rows."""
     out = {}
@@ -155,3 +242,14 @@ def test_starts_over_groups(spark):
     for (no, _, _, n, _), (found, start) in zip(rows, got, strict=True):
         assert (no, total) == (found, start)
         total += n
+
+
+def test_table_of_words(library, prose, monkeypatch):
+    monkeypatch.setattr(tf, "SEEN", 30)
+    words = tf.WordEncoder(tf.vocabulary())
+    # a full table is left with the words of the last text that was looked up in it
+    most = max(len(set(t.split(" "))) for t in prose)
+    for t in (*prose, "one", *prose, "漢字 one"):
+        assert words.document(t).tolist() == library(t)
+        assert len(words.seen) <= most
+        assert len(words.seen_ids) == words.seen_lengths.sum()
