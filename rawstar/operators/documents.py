@@ -39,6 +39,9 @@ if TYPE_CHECKING:
 CHUNK_ROWS = 10_000
 #: Summaries of chunks, a few bytes each, are broadcast up to this number, so that no text is moved for them.
 BROADCAST_CHUNKS = 1_000_000
+#: Rows of a stored row group, which is what a reader may hold at once: rows that are a chunk of text each, and
+#: rows that are a record or, where markup is broken, up to a chunk.
+CHUNK_GROUP, PIECE_GROUP = 32, 256
 #: Longer records are set aside piece by piece: they are more likely unclosed than meant.
 MAX_RECORD_CHUNKS = 64
 XML_DOCUMENT_DDL = f"Transaction array<struct<{XML_TRANSACTION_DDL}>>, _corrupt string"
@@ -50,8 +53,8 @@ XML_TOP_FIELDS = ("TransactionID", "Order", "Items", "Payment")
 #: Signs put into texts while they are cut. XML and JSON allow none of them; they are dropped from both.
 _START, _END, _STOP = "\x03", "\x04", "\x01"
 
-#: Writes a relation once and reads it back, where several steps read it.
-Stage = Callable[[DataFrame], DataFrame]
+#: Writes a relation once and reads it back, where several steps read it. It may be given the rows of a row group.
+Stage = Callable[..., DataFrame]
 
 
 def _listagg(content: str, order: list[str], separator: str) -> Column:
@@ -192,7 +195,7 @@ def join_pieces(pieces: DataFrame, content: str, stage: Stage) -> DataFrame:
     keys = ["file_name", "record_no"]
     ours = placed.filter(inside).withColumn("_whole", starts & F.col("closes"))
     # few rows: only what crosses a chunk border
-    parts = stage(ours.filter("NOT _whole").select(*keys, "chunk", "closes", content))
+    parts = stage(ours.filter("NOT _whole").select(*keys, "chunk", "closes", content), PIECE_GROUP)
     sound = (
         parts.groupBy(*keys)
         .agg(F.max("closes").alias("_closed"), F.count("*").alias("_parts"))
@@ -216,7 +219,7 @@ def join_pieces(pieces: DataFrame, content: str, stage: Stage) -> DataFrame:
         .otherwise(F.concat(F.col(content), F.coalesce("rest", F.lit(""))))
         .alias(content),
     ).filter(F.col(content).contains("<"))
-    between = stage(between)
+    between = stage(between, PIECE_GROUP)
     net = F.regexp_count(content, F.lit(_OPENING)) - F.regexp_count(content, F.lit("</"))
     faulty = between.groupBy(*keys).agg(F.sum(net).alias("_net")).filter("_net <> 0").select(*keys)
     stray = between.join(faulty, keys, "left_semi")
@@ -339,7 +342,7 @@ def cut_xml_records(
     """
     stage = stage or Staging(lines.sparkSession)
     cleaned = lines.withColumn(content, text.strip_dashed(content))
-    chunks = stage(chunk_documents(cleaned, content, "", chunk_rows))
+    chunks = stage(chunk_documents(cleaned, content, "", chunk_rows), CHUNK_GROUP)
     own = F.substr(content, F.lit(1), F.length(content) - F.col("cut"))
     placed = _beside(chunks, xml_chunk_states(chunks, content), stage)
     outside = without_xml_comments(F.concat("head", own), F.col("inside"))
@@ -368,7 +371,7 @@ def cut_xml_records(
         .alias(content),
         F.when(closes, F.substr(content, F.instr(content, end) + len(end))).alias("rest"),
     )
-    return join_pieces(stage(pieces), content, stage)
+    return join_pieces(stage(pieces, PIECE_GROUP), content, stage)
 
 
 def _xml_options(strict: bool) -> dict[str, str]:
@@ -694,7 +697,8 @@ def cut_json_records(
         scanned.select(
             "file_name", "chunk", "from_plain", "from_inside", "rest", "segments", "codes",
             ends.alias("ends"), F.right("_plain", F.lit(200)).alias("tail"),
-        )
+        ),
+        CHUNK_GROUP,
     )
     known = _beside(scanned, json_comment_states(scanned), stage)
     again = (
@@ -751,7 +755,7 @@ def cut_json_records(
         .otherwise(F.col(content))
         .alias(content),
     )
-    records = join_pieces(stage(pieces), content, stage)
+    records = join_pieces(stage(pieces, PIECE_GROUP), content, stage)
     open_ = stacks.filter("chunk IS NULL AND stack <> ''").select("file_name", "stack")
     # unless a piece of the file is set aside anyway
     open_ = open_.join(

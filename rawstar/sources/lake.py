@@ -242,9 +242,15 @@ class Staging:
         self.base = path or scratch_dir(spark, "stage")
         self.made: list[tuple[str, StructType]] = []
 
-    def __call__(self, df: DataFrame) -> DataFrame:
+    def __call__(self, df: DataFrame, group_rows: int | None = None) -> DataFrame:
+        """`group_rows` bounds the rows of a row group. Readers take up to 4,096 rows of a group at once,
+        which is too much text where each row holds a chunk of a file.
+        """
         target = f"{self.base}/{len(self.made)}"
-        df.write.mode("overwrite").parquet(target)
+        writer = df.write.mode("overwrite")
+        if group_rows is not None:
+            writer = writer.option("parquet.block.row.count.limit", group_rows)
+        writer.parquet(target)
         self.made.append((target, df.schema))
         return self.spark.read.schema(df.schema).parquet(target)
 

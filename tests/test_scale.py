@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow.dataset as ds
+import pytest
 from pyspark.sql import functions as F
 
 from rawstar.operators import documents
@@ -82,6 +84,33 @@ def test_what_records_were_cut_from_is_emptied(spark, lines, tmp_path, monkeypat
     assert made and made[0].made
 
 
+@pytest.mark.parametrize("kind", ["xml", "json"])
+def test_a_reader_holds_few_chunks_of_text(spark, lines, monkeypatch, kind):
+    made = []
+
+    class Seen(Staging):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(self)
+
+    monkeypatch.setattr(documents, "Staging", Seen)
+    monkeypatch.setattr(documents, "CHUNK_GROUP", 3)
+    monkeypatch.setattr(documents, "PIECE_GROUP", 5)
+    if kind == "xml":
+        texts = ["<SalesData>", *[TRANSACTION.format(i) for i in range(60)], "</SalesData>"]
+        elements, _ = documents.xml_elements(lines(texts), chunk_rows=1)
+    else:
+        texts = ['{"transactions": [', *[f'{{"id": {i}}},' for i in range(60)], "]}"]
+        elements, _ = documents.json_elements(lines(texts), chunk_rows=1, dedup=False)
+    assert elements.count() == 60
+    largest = {}
+    for path, schema in made[0].made:
+        if {"raw_content", "segments"} & set(schema.names):
+            files = ds.dataset(path.removeprefix("file://"), format="parquet").get_fragments()
+            largest[path] = max((g.num_rows for f in files for g in f.row_groups), default=0)
+    assert 3 in largest.values() and 5 in largest.values() and max(largest.values()) <= 5
+
+
 def test_a_task_writes_a_file_in_order(spark, tmp_path):
     made = spark.range(0, 20_000, 1, 2).select(F.nullif(F.col("id").cast("string"), F.lit("7")).alias("raw_content"))
     landing = str(tmp_path / "landing")
